@@ -1,0 +1,85 @@
+"""Compare registered Spark queries with their DuckDB oracle SQL (local harness)."""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 9)
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return v
+
+
+def _key(row):
+    return tuple((x is None, str(type(x).__name__) if x is not None else "", x if x is not None else 0) for x in row)
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    scols = sdf.columns
+    srows = [tuple(_norm(r[c]) for c in sorted(scols)) for r in sdf.collect()]
+    t1 = time.time()
+    cur = con.execute(sql)
+    dcols = [d[0] for d in cur.description]
+    drows_raw = cur.fetchall()
+    idx = sorted(range(len(dcols)), key=lambda i: dcols[i])
+    drows = [tuple(_norm(r[i]) for i in idx) for r in drows_raw]
+    problems = []
+    if sorted(scols) != sorted(dcols):
+        problems.append(f"columns spark={sorted(scols)} duck={sorted(dcols)}")
+    if len(srows) != len(drows):
+        problems.append(f"rows spark={len(srows)} duck={len(drows)}")
+    if not problems:
+        a = sorted(srows, key=lambda r: [str(x) for x in r])
+        b = sorted(drows, key=lambda r: [str(x) for x in r])
+        bad = [(x, y) for x, y in zip(a, b) if x != y]
+        if bad:
+            problems.append(f"{len(bad)} differing rows, e.g. {bad[0]}")
+    return problems, t1 - t0
+
+
+if __name__ == "__main__":
+    sys.path.insert(0, ".")
+    import __spark_entry__ as E
+    from zonecast.session import build_session
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    only = set(sys.argv[2:])
+    spark = build_session("local[8]")
+    con = duck(sf_dir)
+    qs, sqls = E.queries(), E.oracle_sql()
+    bad = 0
+    for name, fn in qs.items():
+        if only and name not in only:
+            continue
+        if name not in sqls:
+            t0 = time.time()
+            n = fn(spark, sf_dir).count()
+            print(f"R  {name}: rows={n} ({time.time()-t0:.1f}s)")
+            continue
+        try:
+            problems, dt = compare(spark, con, name, fn, sqls[name], sf_dir)
+        except Exception as e:  # noqa: BLE001
+            problems, dt = [f"ERROR {type(e).__name__}: {str(e)[:400]}"], 0
+        bad += bool(problems)
+        print(("OK " if not problems else "BAD ") + f"{name} ({dt:.1f}s) " + "; ".join(problems))
+    print("mismatches:", bad)
