@@ -109,3 +109,31 @@ def strike_call(p: str | Column, cut: float = 0.5) -> Column:
 def safe_div(num: Column, den: Column, default=0.0) -> Column:
     """num/den, or ``default`` when den is 0 (ANSI mode would raise on x/0)."""
     return F.when(den == 0, F.lit(default)).otherwise(num.cast("double") / den.cast("double"))
+
+
+def _edge(i: Column, lo: Column, hi: Column, step: Column, n: int) -> Column:
+    return F.when(i >= F.lit(n), hi).otherwise(i.cast("double") * step + lo)
+
+
+def uniform_bin(x: str | Column, lo: Column, hi: Column, n: int, closed: str = "right") -> Column:
+    """0-based index of x among n equal-width bins over [lo, hi] with edges
+    ``i*((hi-lo)/n) + lo`` (last edge exactly hi), computed in O(1) per row.
+
+    ``closed='right'``: bins (e_i, e_i+1], the lowest edge included (pandas ``cut``
+    with ``include_lowest``).  ``closed='left'``: bins [e_i, e_i+1), the last one
+    closed (NumPy ``histogram``).  The arithmetic guess is corrected against the
+    actual edges, so results equal counting edges below x.  Null x gives null;
+    x outside [lo, hi] is the caller's concern.
+    """
+    x = col_or_lit(x)
+    step = (hi - lo) / F.lit(float(n))
+    g = F.least(F.greatest(F.floor((x - lo) / step), F.lit(0)), F.lit(n - 1)).cast("int")
+    e_g, e_next = _edge(g, lo, hi, step, n), _edge(g + 1, lo, hi, step, n)
+    if closed == "right":
+        b = F.when((x <= e_g) & (g > 0), g - 1).when((x > e_next) & (g < n - 1), g + 1).otherwise(g)
+    else:
+        b = F.when((x < e_g) & (g > 0), g - 1).when((x >= e_next) & (g < n - 1), g + 1).otherwise(g)
+    return F.when(x.isNotNull(), b)
+
+
+__all__ += ["uniform_bin"]

@@ -142,3 +142,36 @@ def q_slice_summary(spark, d):
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
+
+
+# --- zones and bins ---------------------------------------------------------
+from zonecast.operators import zones  # noqa: E402
+
+HEATMAP_BINS = 25
+
+
+def q_zone_heatmap(spark, d):
+    return zones.zone_heatmap(_clean(spark, d), HEATMAP_BINS)
+
+
+def q_zone_heatmap_dense(spark, d):
+    return zones.zone_heatmap_dense(_clean(spark, d), HEATMAP_BINS)
+
+
+def q_zone_grid_count(spark, d):
+    return zones.zone_grid(_clean(spark, d), "count")
+
+
+def q_zone_grid_prob(spark, d):
+    return zones.zone_grid(_clean(spark, d), "prob")
+
+
+def q_zone_grid_scaled(spark, d):
+    return zones.zone_grid_scaled(_clean(spark, d), "count")
+
+
+def q_speed_histogram(spark, d):
+    return zones.speed_histogram(_clean(spark, d), "release_speed", "is_strike", 30)
+
+
+QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

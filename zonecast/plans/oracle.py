@@ -142,3 +142,50 @@ SQL["median_profile"] = with_base(" union all ".join(
 SQL["slice_summary"] = with_base("""
 select count(*) as n_pitches, avg(is_strike) as strike_rate, round(avg(release_speed), 6) as avg_release_speed
 from clean where pitch_type = 'CH'""")
+
+# --- zones and bins ---------------------------------------------------------
+_HB = 25
+_HEAT_CELLS = f"""
+bnd as (select min(plate_x) as xlo, max(plate_x) as xhi, min(plate_z) as zlo, max(plate_z) as zhi from clean),
+edg as (select list_transform(range(0, {_HB} + 1), lambda i: case when i = {_HB} then xhi else i * ((xhi - xlo) / {_HB}) + xlo end) as xe,
+ list_transform(range(0, {_HB} + 1), lambda i: case when i = {_HB} then zhi else i * ((zhi - zlo) / {_HB}) + zlo end) as ze from bnd),
+cells as (select x_bin, z_bin, count(*) as n_pitches, avg(is_strike) as strike_prob from (
+ select cast(greatest(len(list_filter(xe, lambda w: w < plate_x)) - 1, 0) as int) as x_bin,
+  cast(greatest(len(list_filter(ze, lambda w: w < plate_z)) - 1, 0) as int) as z_bin, is_strike
+ from clean, edg where plate_x is not null and plate_z is not null) t group by x_bin, z_bin)"""
+SQL["zone_heatmap"] = with_base("select * from cells", extra=_HEAT_CELLS)
+SQL["zone_heatmap_dense"] = with_base("""
+select xs.x_bin, zs.z_bin, coalesce(c.strike_prob, 0) as strike_prob
+from (select distinct x_bin from cells) xs cross join (select distinct z_bin from cells) zs
+left join cells c on c.x_bin = xs.x_bin and c.z_bin = zs.z_bin""", extra=_HEAT_CELLS)
+_GRID = """
+ge as (select list_transform(range(0, 4), lambda i: case when i = 3 then cast(0.83 as double) else i * ((cast(0.83 as double) - cast(-0.83 as double)) / 3) + cast(-0.83 as double) end) as xe,
+ list_transform(range(0, 4), lambda i: case when i = 3 then cast(3.5 as double) else i * ((cast(3.5 as double) - cast(1.5 as double)) / 3) + cast(1.5 as double) end) as ze),
+gz as (select x_zone, z_zone, count(*) as n_pitches, avg(is_strike) as p from (
+ select case when plate_x between cast(-0.83 as double) and cast(0.83 as double) then cast(greatest(len(list_filter(xe, lambda w: w < plate_x)) - 1, 0) as int) end as x_zone,
+  case when plate_z between cast(1.5 as double) and cast(3.5 as double) then cast(greatest(len(list_filter(ze, lambda w: w < plate_z)) - 1, 0) as int) end as z_zone,
+  is_strike from clean, ge) t where x_zone is not null and z_zone is not null group by x_zone, z_zone),
+grid as (select cast(x.i as int) as x_zone, cast(z.i as int) as z_zone from range(3) x(i), range(3) z(i)),
+full_grid as (select cast((2 - g.z_zone) * 3 + g.x_zone + 1 as int) as zone, g.x_zone, g.z_zone,
+ cast(coalesce(gz.n_pitches, 0) as bigint) as n_pitches, coalesce(gz.p, 0) as p
+ from grid g left join gz on g.x_zone = gz.x_zone and g.z_zone = gz.z_zone)"""
+SQL["zone_grid_count"] = with_base(
+    "select zone, x_zone, z_zone, n_pitches, cast(n_pitches as double) as value from full_grid", extra=_GRID)
+SQL["zone_grid_prob"] = with_base("select zone, x_zone, z_zone, n_pitches, p as value from full_grid", extra=_GRID)
+SQL["zone_grid_scaled"] = with_base("""
+select zone, x_zone, z_zone, n_pitches, cast(n_pitches as double) as value,
+ cast(n_pitches as double) / case when max(n_pitches) over () > 0 then cast(max(n_pitches) over () as double) else 1.0 end as scaled
+from full_grid""", extra=_GRID)
+SQL["speed_histogram"] = with_base("""
+select is_strike, bin, case when bin >= 30 then hi else bin * ((hi - lo) / 30) + lo end as bin_lo,
+ case when bin + 1 >= 30 then hi else (bin + 1) * ((hi - lo) / 30) + lo end as bin_hi, count(*) as n
+from (
+ select c.is_strike, e.lo, e.hi,
+  cast(least(len(list_filter(e.edges, lambda w: w <= c.release_speed)) - 1, 29) as int) as bin
+ from clean c join (
+  select is_strike, lo, hi, list_transform(range(0, 31), lambda i: case when i = 30 then hi else i * ((hi - lo) / 30) + lo end) as edges
+  from (select is_strike, case when lo0 = hi0 then lo0 - 0.5 else lo0 end as lo, case when lo0 = hi0 then hi0 + 0.5 else hi0 end as hi
+        from (select is_strike, min(release_speed) as lo0, max(release_speed) as hi0 from clean
+              where release_speed is not null group by is_strike) b0) b1) e
+ on c.is_strike = e.is_strike where c.release_speed is not null) t
+group by is_strike, bin, lo, hi""")
