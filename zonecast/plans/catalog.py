@@ -175,3 +175,160 @@ def q_speed_histogram(spark, d):
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
+
+
+# --- features -----------------------------------------------------------------
+from zonecast import schema as S  # noqa: E402
+from zonecast.operators import evaluation, features, models, split  # noqa: E402
+from zonecast.sources.fixture import KEY_COLUMNS as KEYS  # noqa: E402
+
+
+def _state(spark, d):
+    return features.fit_state(_clean(spark, d))
+
+
+def _round(cols, digits=R6):
+    return [F.round(F.col(c), digits).alias(c) for c in cols]
+
+
+def q_zone_geometry(spark, d):
+    return features.add_engineered(_clean(spark, d)).select(*KEYS, "zone_mid", "dist_to_zone_center")
+
+
+def q_impute_median(spark, d):
+    st = _state(spark, d)
+    return features.impute_median(_clean(spark, d), st).select(*KEYS, *_round(st.numeric))
+
+
+def q_fill_unknown(spark, d):
+    return features.fill_unknown(_clean(spark, d)).select(*KEYS, *S.CATEGORICAL_FEATURES)
+
+
+def q_one_hot(spark, d):
+    st = _state(spark, d)
+    return _clean(spark, d).select(*KEYS, *features.one_hot_exprs(st))
+
+
+def q_coerce_numeric(spark, d):
+    c = _clean(spark, d)
+    return c.select(*KEYS, features.coerce_numeric(F.col("balls").cast("string")).alias("balls_num"),
+                    features.coerce_numeric(F.col("pitch_type")).alias("pitch_type_num"),
+                    features.coerce_numeric(F.col("on_1b").cast("string")).alias("on_1b_num"))
+
+
+def q_feature_matrix(spark, d):
+    st = _state(spark, d)
+    fm = features.transform(_clean(spark, d), st, keep=KEYS + ["is_strike"])
+    return fm.select(*KEYS, "is_strike", *_round(st.feature_names()))
+
+
+def _scenarios(spark, d):
+    """What-if scenario rows derived from the cleaned table: sz_top absent, some
+    locations missing, some pitch types unseen by the fit."""
+    c = _clean(spark, d)
+    return c.select(*KEYS, "balls", "strikes", "outs_when_up", "on_1b", "on_2b", "on_3b", "release_speed",
+                    "pfx_x", "pfx_z", F.when(F.col("l_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("plate_x")).alias("plate_x"),
+                    "plate_z", "sz_bot",
+                    F.when(F.col("l_partkey") % 13 == 0, F.lit("KN")).otherwise(F.col("pitch_type")).alias("pitch_type"),
+                    "stand", "p_throws", "inning_topbot")
+
+
+def q_featurize_with_state(spark, d):
+    st = _state(spark, d)
+    fm = features.featurize_with_state(_scenarios(spark, d), st, keep=KEYS)
+    return fm.select(*KEYS, *_round(st.feature_names()))
+
+
+# --- split, scoring and evaluation ------------------------------------------------
+
+def _split(spark, d):
+    return split.stratified_split(_clean(spark, d), KEYS, "is_strike", 0.2, 42)
+
+
+def q_stratified_split(spark, d):
+    return _split(spark, d).select(*KEYS, "is_strike", "split")
+
+
+def q_split_balance(spark, d):
+    return summaries.split_balance(_split(spark, d))
+
+
+def q_baseline_predict(spark, d):
+    s = _split(spark, d)
+    return models.baseline_scores(s.filter("split = 'train'"), s.filter("split = 'test'"), KEYS)
+
+
+def _rule_scores(df):
+    """Fixed distance rule used to exercise the evaluators with SQL-checkable scores."""
+    e = features.add_engineered(df)
+    sc = F.lit(1.0) / (F.lit(1.0) + F.floor(F.lit(4.0) * F.coalesce(F.col("dist_to_zone_center"), F.lit(100.0))))
+    return e.select(*KEYS, F.lit("zone_rule").alias("model"), F.col("is_strike").alias("label"),
+                    F.when(sc >= 0.5, 1).otherwise(0).alias("prediction"), sc.alias("score"))
+
+
+def _long_predictions(spark, d):
+    s = _split(spark, d)
+    test, train = s.filter("split = 'test'"), s.filter("split = 'train'")
+    return models.baseline_scores(train, test, KEYS).unionByName(_rule_scores(test))
+
+
+def q_score_bands(spark, d):
+    return models.score_bands(_rule_scores(_clean(spark, d))).select(*KEYS, "score", "call", "band")
+
+
+def q_classification_metrics(spark, d):
+    return evaluation.classification_metrics(_long_predictions(spark, d))
+
+
+def q_roc_auc(spark, d):
+    out = evaluation.roc_auc(_long_predictions(spark, d))
+    return out.select("model", F.round("roc_auc", R6).alias("roc_auc"), "n_pos", "n_neg")
+
+
+def q_roc_curve(spark, d):
+    return evaluation.roc_curve(_long_predictions(spark, d))
+
+
+def q_metrics_by_model(spark, d):
+    out = evaluation.metrics_by_model(_long_predictions(spark, d))
+    return out.select("model", *_round(["accuracy", "precision", "recall", "f1", "roc_auc"]))
+
+
+# Fitted models: rows-only checks (no SQL equivalent).  Small sizes keep the
+# check fast; the operators default to the original sizes.
+MODEL_SIZES = {"logistic_regression": {}, "random_forest": {"num_trees": 20, "max_depth": 8},
+               "boosted_trees": {"max_iter": 20, "max_depth": 4}}
+
+
+def _model_scores(spark, d, name):
+    s = _split(spark, d)
+    st = features.fit_state(s)
+    fm_train = features.transform(s.filter("split = 'train'"), st, keep=["is_strike"])
+    fm_test = features.transform(s.filter("split = 'test'"), st, keep=KEYS + ["is_strike"])
+    model = models.fit_model(fm_train, st, name, **MODEL_SIZES[name])
+    return model, st, models.score(model, fm_test, st, name, KEYS)
+
+
+def q_logistic_scores(spark, d):
+    return _model_scores(spark, d, "logistic_regression")[2]
+
+
+def q_forest_scores(spark, d):
+    return _model_scores(spark, d, "random_forest")[2]
+
+
+def q_boosted_scores(spark, d):
+    return _model_scores(spark, d, "boosted_trees")[2]
+
+
+def q_feature_importance(spark, d):
+    model, st, _ = _model_scores(spark, d, "random_forest")
+    return models.feature_importance(model, st)
+
+
+def q_top_importances(spark, d):
+    model, st, _ = _model_scores(spark, d, "logistic_regression")
+    return models.top_importances(models.feature_importance(model, st), 20)
+
+
+QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -189,3 +189,99 @@ from (
               where release_speed is not null group by is_strike) b0) b1) e
  on c.is_strike = e.is_strike where c.release_speed is not null) t
 group by is_strike, bin, lo, hi""")
+
+# --- features -------------------------------------------------------------------
+_KEYS = "l_orderkey, l_partkey, l_suppkey, l_linenumber, game_date"
+_NUM = S.NUMERIC_FEATURES
+# Categories observed in the cleaned fixture (sorted; the first is dropped).
+_CATS = {
+    "pitch_type": ["CH", "CU", "FC", "FF", "SI", "SL", "ST", "Unknown"],
+    "stand": ["L", "R"],
+    "p_throws": ["L", "R"],
+    "inning_topbot": ["Bot", "Top", "Unknown"],
+}
+_ENG = """eng as (select *, (sz_top + sz_bot) / 2.0 as zone_mid,
+ sqrt(plate_x * plate_x + (plate_z - (sz_top + sz_bot) / 2.0) * (plate_z - (sz_top + sz_bot) / 2.0)) as dist_to_zone_center
+ from clean)"""
+_MED = "med as (select " + ", ".join(f"median(cast({c} as double)) as m_{c}" for c in _NUM) + " from eng)"
+_ONEHOT = ", ".join(
+    f"case when coalesce({c}, 'Unknown') = '{v}' then 1.0 else 0.0 end as {c}_{v}"
+    for c, vals in _CATS.items() for v in vals[1:])
+_IMPUTED = ", ".join(f"round(coalesce(cast({c} as double), m_{c}), 6) as {c}" for c in _NUM)
+_ONEHOT_R = ", ".join(
+    f"round(case when coalesce({c}, 'Unknown') = '{v}' then 1.0 else 0.0 end, 6) as {c}_{v}"
+    for c, vals in _CATS.items() for v in vals[1:])
+
+SQL["zone_geometry"] = with_base(f"select {_KEYS}, zone_mid, dist_to_zone_center from eng", extra=_ENG)
+SQL["impute_median"] = with_base(f"select {_KEYS}, {_IMPUTED} from eng, med", extra=_ENG + ",\n" + _MED)
+SQL["fill_unknown"] = with_base(
+    f"select {_KEYS}, " + ", ".join(f"coalesce({c}, 'Unknown') as {c}" for c in S.CATEGORICAL_FEATURES) + " from clean")
+SQL["one_hot"] = with_base(f"select {_KEYS}, {_ONEHOT} from clean")
+SQL["coerce_numeric"] = with_base(f"""select {_KEYS}, coalesce(try_cast(cast(balls as varchar) as double), 0.0) as balls_num,
+ coalesce(try_cast(pitch_type as double), 0.0) as pitch_type_num,
+ coalesce(try_cast(cast(on_1b as varchar) as double), 0.0) as on_1b_num from clean""")
+SQL["feature_matrix"] = with_base(f"select {_KEYS}, is_strike, {_IMPUTED}, {_ONEHOT_R} from eng, med",
+                                  extra=_ENG + ",\n" + _MED)
+_SCEN = """scen as (select l_orderkey, l_partkey, l_suppkey, l_linenumber, game_date, balls, strikes, outs_when_up,
+ on_1b, on_2b, on_3b, release_speed, pfx_x, pfx_z, case when l_orderkey % 7 = 0 then null else plate_x end as plate_x,
+ plate_z, sz_bot, case when l_partkey % 13 = 0 then 'KN' else pitch_type end as pitch_type, stand, p_throws, inning_topbot
+ from clean),
+scen2 as (select s.*, m.m_sz_top as sz_top, (m.m_sz_top + s.sz_bot) / 2.0 as zone_mid from scen s, med m),
+scen3 as (select *, sqrt(plate_x * plate_x + (plate_z - zone_mid) * (plate_z - zone_mid)) as dist_to_zone_center from scen2)"""
+_SERVE_NUM = ", ".join(
+    (f"round(coalesce(cast({c} as double), 0.0), 6) as {c}" if c in S.ENGINEERED_FEATURES
+     else f"round(coalesce(cast({c} as double), m_{c}), 6) as {c}") for c in _NUM)
+SQL["featurize_with_state"] = with_base(f"select {_KEYS}, {_SERVE_NUM}, {_ONEHOT_R} from scen3, med",
+                                        extra=_ENG + ",\n" + _MED + ",\n" + _SCEN)
+
+# --- split, scoring, evaluation ------------------------------------------------------
+_SPLIT = f"""split_rows as (select *, case when row_number() over (partition by is_strike order by h)
+  <= cast(floor(cast(0.2 as double) * n + 0.5) as bigint) then 'test' else 'train' end as split
+ from (select *, md5(concat_ws('|', '42', cast(l_orderkey as varchar), cast(l_partkey as varchar), cast(l_suppkey as varchar),
+   cast(l_linenumber as varchar), cast(game_date as varchar))) as h, count(*) over (partition by is_strike) as n from clean) t)"""
+SQL["stratified_split"] = with_base(f"select {_KEYS}, is_strike, split from split_rows", extra=_SPLIT)
+SQL["split_balance"] = with_base(
+    "select split, count(*) as n_rows, avg(is_strike) as strike_rate from split_rows group by split", extra=_SPLIT)
+_PRED = _SPLIT + """,
+majority as (select is_strike as cls from split_rows where split = 'train' group by is_strike order by count(*) desc, is_strike limit 1),
+test_eng as (select *, sqrt(plate_x * plate_x + (plate_z - (sz_top + sz_bot) / 2.0) * (plate_z - (sz_top + sz_bot) / 2.0)) as dist
+ from split_rows where split = 'test'),
+preds as (
+ select l_orderkey, l_partkey, l_suppkey, l_linenumber, game_date, 'baseline' as model, is_strike as label,
+  (select cls from majority) as prediction, cast((select cls from majority) as double) as score from test_eng
+ union all
+ select l_orderkey, l_partkey, l_suppkey, l_linenumber, game_date, 'zone_rule' as model, is_strike as label,
+  case when 1.0 / (1.0 + floor(4.0 * coalesce(dist, 100.0))) >= 0.5 then 1 else 0 end as prediction,
+  1.0 / (1.0 + floor(4.0 * coalesce(dist, 100.0))) as score from test_eng),
+conf as (select model, count(*) filter (where label = 1 and prediction = 1) as tp,
+ count(*) filter (where label = 0 and prediction = 1) as fp, count(*) filter (where label = 1 and prediction = 0) as fn,
+ count(*) filter (where label = 0 and prediction = 0) as tn from preds group by model),
+mets as (select model,
+ case when tp + fp + fn + tn = 0 then 0.0 else cast(tp + tn as double) / cast(tp + fp + fn + tn as double) end as accuracy,
+ case when tp + fp = 0 then 0.0 else cast(tp as double) / cast(tp + fp as double) end as precision,
+ case when tp + fn = 0 then 0.0 else cast(tp as double) / cast(tp + fn as double) end as recall,
+ case when 2 * tp + fp + fn = 0 then 0.0 else cast(2 * tp as double) / cast(2 * tp + fp + fn as double) end as f1 from conf),
+st as (select model, score, count(*) filter (where label = 1) as pos, count(*) filter (where label = 0) as neg
+ from preds where score is not null group by model, score),
+cum as (select *, sum(neg) over (partition by model order by score rows between unbounded preceding and current row) as cum_neg,
+ sum(pos) over (partition by model order by score rows between unbounded preceding and current row) as cum_pos,
+ sum(pos) over (partition by model) as tot_p, sum(neg) over (partition by model) as tot_n from st),
+auc as (select model, case when sum(pos) * sum(neg) > 0 then
+  sum(cast(pos as double) * (cum_neg - neg + neg / 2.0)) / (cast(sum(pos) as double) * cast(sum(neg) as double)) end as roc_auc,
+ cast(sum(pos) as bigint) as n_pos, cast(sum(neg) as bigint) as n_neg from cum group by model)"""
+SQL["baseline_predict"] = with_base("select * from preds where model = 'baseline'", extra=_PRED)
+SQL["score_bands"] = with_base(f"""
+select {_KEYS}, score, case when score >= 0.5 then 'Strike' else 'Ball' end as call,
+ case when score >= 0.7 then 'high' when score >= 0.5 then 'moderate' else 'low' end as band
+from (select *, 1.0 / (1.0 + floor(4.0 * coalesce(dist_to_zone_center, 100.0))) as score from eng) t""", extra=_ENG)
+SQL["classification_metrics"] = with_base("select * from mets", extra=_PRED)
+SQL["roc_auc"] = with_base("select model, round(roc_auc, 6) as roc_auc, n_pos, n_neg from auc", extra=_PRED)
+SQL["roc_curve"] = with_base("""
+select model, score as threshold,
+ case when tot_n = 0 then 0.0 else cast(tot_n - (cum_neg - neg) as double) / cast(tot_n as double) end as fpr,
+ case when tot_p = 0 then 0.0 else cast(tot_p - (cum_pos - pos) as double) / cast(tot_p as double) end as tpr from cum
+union all
+select distinct model, cast(null as double) as threshold, 0.0 as fpr, 0.0 as tpr from st""", extra=_PRED)
+SQL["metrics_by_model"] = with_base("""
+select m.model, round(accuracy, 6) as accuracy, round(precision, 6) as precision, round(recall, 6) as recall,
+ round(f1, 6) as f1, round(a.roc_auc, 6) as roc_auc from mets m left join auc a on m.model = a.model""", extra=_PRED)
