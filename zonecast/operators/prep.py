@@ -30,8 +30,11 @@ def label_outcomes(df: DataFrame, description_col: str = "description", label_co
                    balls: Sequence[str] = S.BALL_DESCRIPTIONS) -> DataFrame:
     """Add an int 0/1 label from the description and drop rows matching neither list."""
     S.require_columns(df, [description_col])
-    labelled = df.withColumn(label_col, strike_label(description_col, strikes, balls))
-    return labelled.filter(F.col(label_col).isNotNull())
+    d = F.col(description_col)
+    # Filter on the description itself (referenced once) and give the label a
+    # non-nullable form, so later null checks on it fold away.
+    kept = df.filter(d.isin(list(strikes) + list(balls)))
+    return kept.withColumn(label_col, F.when(d.isin(list(strikes)), F.lit(1)).otherwise(F.lit(0)))
 
 
 def label_audit(df: DataFrame, description_col: str = "description",
@@ -67,8 +70,18 @@ def speed_bounds(df: DataFrame, speed_col: str = "release_speed", lo: float = S.
 
 def drop_missing_critical(df: DataFrame, columns: Sequence[str] = S.CRITICAL_COLUMNS) -> DataFrame:
     """Drop rows null (or NaN) in any of the listed columns that are present."""
-    present = [c for c in columns if c in df.columns]
-    return df.dropna(subset=present) if present else df
+    cond = None
+    for c in columns:
+        if c not in df.columns:
+            continue
+        f = df.schema[c]
+        ok = F.col(c).isNotNull()
+        if _is_floating(df, c):
+            ok = ok & ~F.isnan(c)
+        elif not f.nullable:
+            continue  # cannot be missing
+        cond = ok if cond is None else cond & ok
+    return df if cond is None else df.filter(cond)
 
 
 def basic_cleaning(df: DataFrame, speed_col: str = "release_speed",

@@ -45,20 +45,19 @@ def pitch_view_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
     k, k2 = F.col("k"), F.col("k2")
 
-    def by_k2(names):
-        expr = F.when(k2 == 0, names[0])
-        for i, name in enumerate(names[1:-1], start=1):
-            expr = expr.when(k2 == i, name)
-        return expr.otherwise(names[-1])
-
-    strike_like = by_k2(["called_strike", "swinging_strike", "swinging_strike_blocked", "foul", "foul_tip", "missed_bunt"])
-    ball_like = by_k2(["ball", "blocked_ball", "intent_ball", "ball_in_dirt", "pitchout", "hit_by_pitch"])
+    strike_names = F.array(*[F.lit(x) for x in ["called_strike", "swinging_strike", "swinging_strike_blocked",
+                                                  "foul", "foul_tip", "missed_bunt"]])
+    ball_names = F.array(*[F.lit(x) for x in ["ball", "blocked_ball", "intent_ball", "ball_in_dirt",
+                                              "pitchout", "hit_by_pitch"]])
+    # (in_zone and k <> 0) or (not in_zone and k <= 1), with in_zone evaluated once
+    strike_like = F.when(in_zone, k != 0).otherwise(k <= 1)
+    idx = k2.cast("int")
     description = (
         F.when(k == 12, "hit_into_play")
         .when(k == 13, "foul_bunt")
         .when(k == 14, F.lit(None))
-        .when((in_zone & (k != 0)) | (~in_zone & (k <= 1)), strike_like)
-        .otherwise(ball_like)
+        .when(strike_like, strike_names.getItem(idx))
+        .otherwise(ball_names.getItem(idx))
     )
     pitch_types = ["FF", "SL", "CH", "CU", "SI", "FC", "ST"]
     pt = F.when(pk % 8 == 0, pitch_types[0])
