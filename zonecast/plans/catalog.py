@@ -332,3 +332,55 @@ def q_top_importances(spark, d):
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
+
+
+# --- roster lookups and unions -------------------------------------------------------
+from zonecast.operators import roster as R  # noqa: E402
+
+# Roster over the driver's part names ("adjective noun" -> first, last); several
+# names repeat in part (first match = smallest key) and the last one is absent.
+FIXTURE_ROSTER = [
+    {"first": "red", "last": "plate", "throws": "R"},
+    {"first": "small", "last": "widget", "throws": "R"},
+    {"first": "hot", "last": "plate", "throws": "L"},
+    {"first": "large", "last": "rod", "handedness": "L"},
+    {"first": "blue", "last": "bolt", "throws": "", "handedness": "R"},
+    {"first": "purple", "last": "unicorn", "throws": "R"},
+]
+
+
+def _people(spark, d):
+    part = spark.read.parquet(f"{d}/part.parquet")
+    name = F.split("p_name", " ")
+    return part.select(name.getItem(0).alias("name_first"), name.getItem(1).alias("name_last"),
+                       F.col("p_partkey").alias("player_id"))
+
+
+def _tagged(spark, d):
+    roster = R.roster_frame(spark, FIXTURE_ROSTER)
+    ids = R.resolve_ids(roster, _people(spark, d))
+    return roster, R.tag_pitches(_clean(spark, d), ids, "l_partkey")
+
+
+def q_roster_join(spark, d):
+    _, t = _tagged(spark, d)
+    return t.select(*KEYS, "is_strike", "pitcher_first", "pitcher_last", "pitcher_name", "throws_config")
+
+
+def q_roster_coverage(spark, d):
+    roster, t = _tagged(spark, d)
+    return R.roster_coverage(roster, t)
+
+
+def q_union_sources(spark, d):
+    _, t = _tagged(spark, d)
+    right = t.filter(F.col("throws_config") == "R").select(*KEYS, "pitcher_name", "throws_config")
+    left = t.filter(F.col("throws_config") != "R").select(*KEYS, "pitcher_name", "release_speed")
+    return R.union_sources([right, left])
+
+
+def q_tag_roster(spark, d):
+    return prep.tag_constant(_clean(spark, d).select(*KEYS), "Gerrit", "Cole", "R")
+
+
+QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

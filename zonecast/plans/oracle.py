@@ -285,3 +285,25 @@ select distinct model, cast(null as double) as threshold, 0.0 as fpr, 0.0 as tpr
 SQL["metrics_by_model"] = with_base("""
 select m.model, round(accuracy, 6) as accuracy, round(precision, 6) as precision, round(recall, 6) as recall,
  round(f1, 6) as f1, round(a.roc_auc, 6) as roc_auc from mets m left join auc a on m.model = a.model""", extra=_PRED)
+
+# --- roster -----------------------------------------------------------------------
+_ROSTER = """roster as (select * from (values (0, 'red', 'plate', 'R'), (1, 'small', 'widget', 'R'), (2, 'hot', 'plate', 'L'),
+ (3, 'large', 'rod', 'L'), (4, 'blue', 'bolt', 'R'), (5, 'purple', 'unicorn', 'R')) t(roster_pos, first, last, throws)),
+firsts as (select split_part(p_name, ' ', 1) as first, split_part(p_name, ' ', 2) as last, min(p_partkey) as player_id
+ from part where p_partkey is not null group by 1, 2),
+ids as (select r.*, f.player_id from roster r join firsts f on r.first = f.first and r.last = f.last),
+tagged as (select c.*, i.first as pitcher_first, i.last as pitcher_last, i.first || ' ' || i.last as pitcher_name,
+ i.throws as throws_config from clean c join ids i on c.l_partkey = i.player_id)"""
+SQL["roster_join"] = with_base(
+    f"select {_KEYS}, is_strike, pitcher_first, pitcher_last, pitcher_name, throws_config from tagged", extra=_ROSTER)
+SQL["roster_coverage"] = with_base("""
+select r.roster_pos, r.first, r.last, cast(coalesce(t.n, 0) as bigint) as n_pitches, coalesce(t.n, 0) > 0 as succeeded
+from roster r left join (select pitcher_first, pitcher_last, count(*) as n from tagged group by 1, 2) t
+ on r.first = t.pitcher_first and r.last = t.pitcher_last""", extra=_ROSTER)
+SQL["union_sources"] = with_base(f"""
+select {_KEYS}, pitcher_name, throws_config, cast(null as double) as release_speed from tagged where throws_config = 'R'
+union all
+select {_KEYS}, pitcher_name, cast(null as varchar) as throws_config, release_speed from tagged where throws_config <> 'R'""",
+                                 extra=_ROSTER)
+SQL["tag_roster"] = with_base(
+    f"select {_KEYS}, 'Gerrit' as pitcher_first, 'Cole' as pitcher_last, 'Gerrit Cole' as pitcher_name, 'R' as throws_config from clean")
