@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonecast.sources.scan import spread
+
 # Columns kept from lineitem that identify a row: (orderkey, partkey, suppkey,
 # linenumber, shipdate) is unique at every scale factor.
 KEY_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "game_date"]
@@ -87,9 +89,14 @@ def pitch_view_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
+LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_returnflag",
+                    "l_quantity", "l_discount", "l_tax", "l_shipdate"]
+
+
 def pitch_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw pitch table for a scale-factor directory."""
-    return pitch_view_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    """Raw pitch table for a scale-factor directory (pruned scan, spread over the cluster)."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*LINEITEM_COLUMNS)
+    return pitch_view_from_lineitem(spread(li))
 
 
 # DuckDB text of the same derivation (oracle side).

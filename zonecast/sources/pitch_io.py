@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonecast import schema as S
+from zonecast.sources.scan import spread
 
 
 def _normalise_nan(df: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def load_pitches(spark: SparkSession, path: str, fmt: str | None = None,
     else:
         df = spark.read.parquet(path)
     S.require_columns(df, required, "pitch table")
-    return _normalise_nan(df)
+    return _normalise_nan(spread(df))
 
 
 def save_raw(df: DataFrame, path: str, overwrite: bool = False, partition_by: Sequence[str] = ()) -> bool:
