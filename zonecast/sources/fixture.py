@@ -53,13 +53,13 @@ def pitch_view_from_lineitem(lineitem: DataFrame) -> DataFrame:
                                               "pitchout", "hit_by_pitch"]])
     # (in_zone and k <> 0) or (not in_zone and k <= 1), with in_zone evaluated once
     strike_like = F.when(in_zone, k != 0).otherwise(k <= 1)
-    idx = k2.cast("int")
+    idx = k2.cast("int") + 1  # element_at is 1-based
     description = (
         F.when(k == 12, "hit_into_play")
         .when(k == 13, "foul_bunt")
         .when(k == 14, F.lit(None))
-        .when(strike_like, strike_names.getItem(idx))
-        .otherwise(ball_names.getItem(idx))
+        .when(strike_like, F.element_at(strike_names, idx))
+        .otherwise(F.element_at(ball_names, idx))
     )
     pitch_types = ["FF", "SL", "CH", "CU", "SI", "FC", "ST"]
     pt = F.when(pk % 8 == 0, pitch_types[0])
