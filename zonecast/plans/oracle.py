@@ -205,11 +205,11 @@ _ENG = """eng as (select *, (sz_top + sz_bot) / 2.0 as zone_mid,
  from clean)"""
 _MED = "med as (select " + ", ".join(f"median(cast({c} as double)) as m_{c}" for c in _NUM) + " from eng)"
 _ONEHOT = ", ".join(
-    f"case when coalesce({c}, 'Unknown') = '{v}' then 1.0 else 0.0 end as {c}_{v}"
+    f"case when coalesce({c}, 'Unknown') = '{v}' then cast(1.0 as double) else cast(0.0 as double) end as {c}_{v}"
     for c, vals in _CATS.items() for v in vals[1:])
 _IMPUTED = ", ".join(f"round(coalesce(cast({c} as double), m_{c}), 6) as {c}" for c in _NUM)
 _ONEHOT_R = ", ".join(
-    f"round(case when coalesce({c}, 'Unknown') = '{v}' then 1.0 else 0.0 end, 6) as {c}_{v}"
+    f"round(case when coalesce({c}, 'Unknown') = '{v}' then cast(1.0 as double) else cast(0.0 as double) end, 6) as {c}_{v}"
     for c, vals in _CATS.items() for v in vals[1:])
 
 SQL["zone_geometry"] = with_base(f"select {_KEYS}, zone_mid, dist_to_zone_center from eng", extra=_ENG)
