@@ -49,6 +49,11 @@ def _values(df: DataFrame, value_col: str, gcols: Sequence[str]) -> tuple[DataFr
     return out, vtype
 
 
+def _check_groups(stats):
+    if len(stats) > MAX_TARGET_ROWS:
+        raise ValueError(f"more than {MAX_TARGET_ROWS} groups; exact selection is meant for few groups")
+
+
 def _bucket(lo, hi, buckets: int):
     v = F.col("_v")
     width = (hi - lo).cast("double")
@@ -63,7 +68,7 @@ def _ranges_frame(spark, key_type, vtype, rows):
         T.StructField("_lo", vtype, True),
         T.StructField("_hi", vtype, True),
     ])
-    if len(rows) > MAX_TARGET_ROWS:
+    if len(rows) > MAX_TARGET_ROWS:  # also bounds strata of a split
         raise ValueError(f"too many selection targets ({len(rows)}); group on fewer keys")
     return spark.createDataFrame(rows, schema)
 
@@ -123,20 +128,26 @@ def narrow_ranks(v: DataFrame, key_type, vtype, targets: dict, *, buckets: int =
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), *, buckets: int = 1024,
-                    band_rows: int = 4096) -> DataFrame:
+                    band_rows: int = 4096, persist: bool = False) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas / DuckDB ``quantile_cont``).
 
     Nulls and NaN are ignored.  Output: group columns, ``prob``, ``quantile``
     (null for an empty group) and ``n`` (non-missing rows).
+
+    Each pass re-reads the (pruned) input; ``persist=True`` caches the value
+    column instead, which pays off only when the input is expensive to recompute
+    and small enough to cache (an unpivoted multi-column input is k rows per row).
     """
     spark = df.sparkSession
     gcols = list(group_cols)
     v, vtype = _values(df, value_col, gcols)
     key_type = v.schema[_KEY].dataType
-    v = v.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist:
+        v = v.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = v.groupBy(_KEY).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                    F.max("_v").alias("hi")).collect()
+                                    F.max("_v").alias("hi")).limit(MAX_TARGET_ROWS + 1).collect()
+        _check_groups(stats)
         targets, plan = {}, []
         for s in stats:
             n = s["n"]
@@ -173,7 +184,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                         break
                     acc += c
     finally:
-        v.unpersist()
+        if persist:
+            v.unpersist()
 
     out_rows = []
     for key, p, n, pos, r0, r1 in plan:
@@ -203,22 +215,25 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | N
 
 
 def kth_smallest_keys(df: DataFrame, hash_col: str, key_col: str, ks: dict, group_col: str | None = None,
-                      *, buckets: int = 1024, band_rows: int = 4096) -> dict:
+                      *, buckets: int = 1024, band_rows: int = 4096, persist: bool = False) -> dict:
     """For each group g, the k_g-th smallest ``key_col`` (1-based) where ``hash_col`` is a
-    monotone long prefix of ``key_col``.  Returns {group value: key or None when k is 0}."""
+    monotone long prefix of ``key_col``.  ``ks`` maps group -> k, or is a function of the
+    group's row count.  Returns {group value: key or None when k is 0}."""
     spark = df.sparkSession
     gcols = [group_col] if group_col else []
     base = df.select(_group_key(gcols).alias(_KEY), F.col(hash_col).cast("long").alias("_v"),
                      F.col(key_col).alias("_key"))
     key_type = base.schema[_KEY].dataType
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist:
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = base.groupBy(_KEY).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                       F.max("_v").alias("hi")).collect()
+                                       F.max("_v").alias("hi")).limit(MAX_TARGET_ROWS + 1).collect()
+        _check_groups(stats)
         targets, result = {}, {}
         for s in stats:
             g = s[_KEY][group_col] if group_col else None
-            k = int(ks.get(g, 0))
+            k = int(ks(s["n"]) if callable(ks) else ks.get(g, 0))
             if k <= 0:
                 result[g] = None
                 continue
@@ -241,7 +256,8 @@ def kth_smallest_keys(df: DataFrame, hash_col: str, key_col: str, ks: dict, grou
                 keys = sorted(by_rid[t["rid"]])
                 result[g] = keys[t["rank"] - t["below"]]
     finally:
-        base.unpersist()
+        if persist:
+            base.unpersist()
     return result
 
 

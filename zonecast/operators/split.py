@@ -38,14 +38,10 @@ def stratified_split(df: DataFrame, key_cols: Sequence[str], label_col: str = "i
     h = split_hash(key_cols, seed)
     hashed = df.withColumn("_h", h).withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
     group = label_col if stratify else None
-    if group:
-        counts = hashed.groupBy(group).agg(F.count(F.lit(1)).alias("n")).limit(MAX_STRATA + 1).collect()
-        if len(counts) > MAX_STRATA:
-            raise ValueError("too many strata for a stratified split")
-        quotas = {r[group]: test_quota(r["n"], test_size) for r in counts}
-    else:
-        quotas = {None: test_quota(hashed.count(), test_size)}
-    cut = kth_smallest_keys(hashed, "_h60", "_h", quotas, group)
+    # one stats job per stratum (count, hash range) both sizes the quota and seeds the search
+    cut = kth_smallest_keys(hashed, "_h60", "_h", lambda n: test_quota(n, test_size), group)
+    if len(cut) > MAX_STRATA:
+        raise ValueError("too many strata for a stratified split")
     if group:
         pairs = [x for g, t in cut.items() if t is not None for x in (F.lit(g), F.lit(t))]
         thr = F.create_map(*pairs)[F.col(group)] if pairs else F.lit(None).cast("string")
