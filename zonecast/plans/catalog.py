@@ -384,3 +384,30 @@ def q_tag_roster(spark, d):
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
+
+
+# --- panel pieces that other queries use internally ---------------------------------
+
+def q_axis_extents(spark, d):
+    return summaries.axis_extents(_clean(spark, d))
+
+
+def q_shown_vs_total(spark, d):
+    df = _clean(spark, d)
+    return prep.shown_vs_total(df, prep.multiselect_condition(df, ["FF", "CH", "ST"]))
+
+
+def q_missing_pitchers(spark, d):
+    roster, t = _tagged(spark, d)
+    return R.missing_pitchers(roster, t)
+
+
+def q_value_counts_by_target(spark, d):
+    return summaries.value_counts(_clean(spark, d), "is_strike")
+
+
+def q_value_counts_by_hand(spark, d):
+    return summaries.value_counts(_clean(spark, d), "p_throws", by="value")
+
+
+QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -307,3 +307,14 @@ select {_KEYS}, pitcher_name, cast(null as varchar) as throws_config, release_sp
                                  extra=_ROSTER)
 SQL["tag_roster"] = with_base(
     f"select {_KEYS}, 'Gerrit' as pitcher_first, 'Cole' as pitcher_last, 'Gerrit Cole' as pitcher_name, 'R' as throws_config from clean")
+
+SQL["axis_extents"] = with_base(
+    "select min(plate_x) as x_min, max(plate_x) as x_max, min(plate_z) as z_min, max(plate_z) as z_max from clean")
+SQL["shown_vs_total"] = with_base(
+    "select count(*) filter (where pitch_type in ('FF', 'CH', 'ST')) as n_shown, count(*) as n_total from clean")
+SQL["missing_pitchers"] = with_base("""
+select r.roster_pos, r.first, r.last, r.throws from roster r
+where not exists (select 1 from tagged t where t.pitcher_first = r.first and t.pitcher_last = r.last)""", extra=_ROSTER)
+SQL["value_counts_by_target"] = with_base("select is_strike, count(*) as n from clean group by is_strike")
+SQL["value_counts_by_hand"] = with_base(
+    "select p_throws, count(*) as n from clean where p_throws is not null group by p_throws")
