@@ -116,3 +116,20 @@ def test_streaming_prep_equals_batch(spark, scratch):
     exp = build_processed(spark.read.parquet(src))
     assert got.count() == exp.count() == 4094
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
+
+
+def test_cli_prepare_train_evaluate(spark, scratch):
+    from zonecast import cli
+    from zonecast.plans.training import evaluate_saved_models
+    raw = os.path.join(scratch, "raw")
+    pitch_view(spark, SF).write.parquet(raw)
+    proc = os.path.join(scratch, "proc")
+    cli.main(["prepare", "--raw", raw, "--out", proc])
+    keys = ",".join(KEY_COLUMNS)
+    mdir, mbase = os.path.join(scratch, "m"), os.path.join(scratch, "metrics")
+    cli.main(["train", "--processed", proc, "--models", mdir, "--metrics", mbase, "--keys", keys,
+              "--model-names", "baseline,logistic_regression"])
+    again = evaluate_saved_models(spark, spark.read.parquet(proc), KEY_COLUMNS, mdir)
+    trained = {r["model"]: r for r in pitch_io.read_metrics(spark, mbase + "_test").collect()}
+    for r in again.collect():
+        assert r["accuracy"] == pytest.approx(trained[r["model"]]["accuracy"])

@@ -69,3 +69,25 @@ def _union(frames):
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def evaluate_saved_models(spark: SparkSession, processed: DataFrame, key_cols: Sequence[str], models_dir: str,
+                          metrics_base: str | None = None, include_baseline: bool = True) -> DataFrame:
+    """Score every saved model (sorted by name) on the test split and return metrics.
+
+    The split is a pure function of the key, so re-deriving it here gives the
+    same rows the models were evaluated on at training time.
+    """
+    names = pitch_io.list_models(spark, models_dir)
+    if not names:
+        raise FileNotFoundError(f"No trained models found in {models_dir}")
+    state = features.FeatureState.load(spark, models_dir.rstrip("/") + "/_feature_state")
+    s = persist_split(spark, processed, key_cols)
+    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
+    preds = [models.baseline_scores(train, test, key_cols)] if include_baseline else []
+    for n in names:
+        preds.append(models.score(pitch_io.load_model(spark, models_dir, n), test, state, n, key_cols))
+    metrics = evaluation.metrics_by_model(_union(preds))
+    if metrics_base:
+        pitch_io.save_metrics(metrics, metrics_base + "_test")
+    return metrics

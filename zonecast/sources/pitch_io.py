@@ -109,7 +109,7 @@ def list_models(spark: SparkSession, models_dir: str) -> list[str]:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and not s.getPath().getName().startswith("_")]
     return sorted(n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(models_dir.rstrip("/") + "/" + n + "/metadata")))
 
 
