@@ -411,3 +411,32 @@ def q_value_counts_by_hand(spark, d):
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
+
+
+# --- the same operators on other tables (column names are parameters) -------------------
+
+def _events(spark, d):
+    return spark.read.parquet(f"{d}/events.parquet")
+
+
+def q_events_value_counts(spark, d):
+    return summaries.value_counts(_events(spark, d), "event_type")
+
+
+def q_events_histogram(spark, d):
+    return zones.speed_histogram(_events(spark, d), "value", "event_type", 30)
+
+
+def q_events_describe(spark, d):
+    out = summaries.describe_by_class(_events(spark, d), "value", "event_type")
+    return out.select("event_type", "count", *[F.round(c, R6).alias(c) for c in
+                                               ["mean", "std", "min", "q25", "q50", "q75", "max"]])
+
+
+def q_orders_rate_by_priority(spark, d):
+    o = spark.read.parquet(f"{d}/orders.parquet").withColumn(
+        "is_filled", (F.col("o_orderstatus") == "F").cast("int"))
+    return summaries.rate_by(o, "o_orderpriority", "is_filled")
+
+
+QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

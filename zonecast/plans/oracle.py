@@ -318,3 +318,27 @@ where not exists (select 1 from tagged t where t.pitcher_first = r.first and t.p
 SQL["value_counts_by_target"] = with_base("select is_strike, count(*) as n from clean group by is_strike")
 SQL["value_counts_by_hand"] = with_base(
     "select p_throws, count(*) as n from clean where p_throws is not null group by p_throws")
+
+# --- other tables ---------------------------------------------------------------------
+SQL["events_value_counts"] = "select event_type, count(*) as n from events where event_type is not null group by event_type"
+SQL["events_histogram"] = """
+select event_type, bin, case when bin >= 30 then hi else bin * ((hi - lo) / 30) + lo end as bin_lo,
+ case when bin + 1 >= 30 then hi else (bin + 1) * ((hi - lo) / 30) + lo end as bin_hi, count(*) as n
+from (
+ select c.event_type, e.lo, e.hi,
+  cast(least(len(list_filter(e.edges, lambda w: w <= c.value)) - 1, 29) as int) as bin
+ from events c join (
+  select event_type, lo, hi, list_transform(range(0, 31), lambda i: case when i = 30 then hi else i * ((hi - lo) / 30) + lo end) as edges
+  from (select event_type, case when lo0 = hi0 then lo0 - 0.5 else lo0 end as lo, case when lo0 = hi0 then hi0 + 0.5 else hi0 end as hi
+        from (select event_type, min(value) as lo0, max(value) as hi0 from events
+              where value is not null and not isnan(value) group by event_type) b0) b1) e
+ on c.event_type = e.event_type where c.value is not null and not isnan(c.value)) t
+group by event_type, bin, lo, hi"""
+SQL["events_describe"] = """
+select event_type, count(*) as count, round(avg(value), 6) as mean, round(stddev_samp(value), 6) as std,
+ round(min(value), 6) as min, round(quantile_cont(value, 0.25), 6) as q25, round(quantile_cont(value, 0.5), 6) as q50,
+ round(quantile_cont(value, 0.75), 6) as q75, round(max(value), 6) as max
+from events where value is not null and not isnan(value) group by event_type"""
+SQL["orders_rate_by_priority"] = """
+select o_orderpriority, count(*) as n_pitches, avg(cast(o_orderstatus = 'F' as int)) as strike_rate
+from orders where o_orderpriority is not null group by o_orderpriority"""
