@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, quality, token_files
+from . import decontam, langid, neardup, quality, token_files
 from .common import table
 
 
@@ -14,13 +14,21 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicate_report(table(spark, sf_dir, "documents"), words=4)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op6_quality": op6_quality, "op8_language": op8_language, "op9_token_files": op9_token_files}
-SQL: dict[str, str] = {}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op6_quality": op6_quality, "op7_near_duplicates": op7_near_duplicates, "op8_language": op8_language, "op9_token_files": op9_token_files}
+SQL: dict[str, str] = {"op1_decontaminate": decontam.ORACLE}
