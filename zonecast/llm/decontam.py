@@ -119,21 +119,21 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
     return docs.join(gone, docs["doc_id"] == gone["_leak"], "left_anti")
 
 
-_TOKENS = f"""list_transform(regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{NAME}', '\\1§name', 'g'), '{QUANTITY}', ' §num §unit ', 'g'), '{NUMBER}', ' §num ', 'g')), '{TOKEN}'), x -> x)"""
+_TOKENS = f"""regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{NAME}', '\\1§name', 'g'), '{QUANTITY}', ' §num §unit ', 'g'), '{NUMBER}', ' §num ', 'g')), '{TOKEN}')"""
 
 
 def _sql_windows(table: str, key: str, pos: str) -> str:
     span = f"tokens[i:i + {WINDOW - 1}]"
     return f"""select {key}, i - 1 as {pos}, array_to_string({span}, ' ') as w
       from (select {key}, tokens, unnest(range(1, greatest(1, len(tokens) - {WINDOW - 2}))) as i from (select {key}, {_TOKENS} as tokens from {table} where {key} is not null))
-      where len(list_filter({span}, x -> not starts_with(x, '§'))) >= {LITERALS}"""
+      where len(list_filter({span}, lambda x: not starts_with(x, '§'))) >= {LITERALS}"""
 
 
 def _sql_slots(table: str, key: str, pos: str, value: str) -> str:
     bare = f"regexp_replace(coalesce(text, ''), '{NAME}', '\\1§name', 'g')"
     one = lambda kind, values: f"""select {key}, '{kind}' as kind, p[i] - 1 as {pos}, v[i] as {value} from (
         select {key}, p, v, unnest(range(1, least(len(p), len(v)) + 1)) as i from (
-          select {key}, list_filter(range(1, len(tokens) + 1), j -> tokens[j] = '§{kind}') as p, v from (select {key}, {_TOKENS} as tokens, {values} as v from {table} where {key} is not null)))"""
+          select {key}, list_filter(range(1, len(tokens) + 1), lambda j: tokens[j] = '§{kind}') as p, v from (select {key}, {_TOKENS} as tokens, {values} as v from {table} where {key} is not null)))"""
     return " union all ".join([one("num", f"regexp_extract_all({bare}, '{NUMBER}')"), one("unit", f"regexp_extract_all({bare}, '{QUANTITY}', 2)"), one("name", f"regexp_extract_all(coalesce(text, ''), '{NAME}', 2)")])
 
 
