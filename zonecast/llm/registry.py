@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, neardup, quality, token_files
+from . import decontam, langid, mixing, neardup, quality, token_files
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,5 +34,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op6_quality": op6_quality, "op7_near_duplicates": op7_near_duplicates, "op8_language": op8_language, "op9_token_files": op9_token_files}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op4_mixing": op4_mixing, "op6_quality": op6_quality, "op7_near_duplicates": op7_near_duplicates, "op8_language": op8_language, "op9_token_files": op9_token_files, "pipeline": pipeline}
 SQL: dict[str, str] = {"op1_decontaminate": decontam.ORACLE}
