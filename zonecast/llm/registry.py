@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, mixing, neardup, quality, token_files
+from . import decontam, langid, mixing, multisethash, neardup, quality, secrets, token_files
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multisethash.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,11 +38,25 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op4_mixing": op4_mixing, "op6_quality": op6_quality, "op7_near_duplicates": op7_near_duplicates, "op8_language": op8_language, "op9_token_files": op9_token_files, "pipeline": pipeline}
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op4_mixing": op4_mixing,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_quality": op6_quality,
+    "op7_near_duplicates": op7_near_duplicates,
+    "op8_language": op8_language,
+    "op9_token_files": op9_token_files,
+    "op10_secrets": op10_secrets,
+    "pipeline": pipeline,
+}
 SQL: dict[str, str] = {"op1_decontaminate": decontam.ORACLE}
