@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, mixing, multisethash, neardup, pii, quality, secrets, token_files
+from . import decontam, langid, mixing, multisethash, neardup, pii, quality, secrets, styletree, token_files
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return styletree.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_main_text": op2_main_text,
     "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
     "op5_fingerprints": op5_fingerprints,
