@@ -16,6 +16,7 @@ from zonecast.sources.fixture import KEY_COLUMNS, pitch_view
 from zonecast.streaming.incremental_prep import start_incremental_prep
 
 SF = "/root/testdata/sf0.001"
+TEST_SIZES = {"logistic_regression": {}, "random_forest": {"num_trees": 20, "max_depth": 8}, "boosted_trees": {"max_iter": 20, "max_depth": 4}}
 
 
 def test_csv_roundtrip_na_and_errors(spark, scratch):
@@ -27,10 +28,38 @@ def test_csv_roundtrip_na_and_errors(spark, scratch):
     assert back.filter(F.col("plate_x").isNull()).count() == raw.limit(200).filter(F.col("plate_x").isNull()).count()
     with pytest.raises(FileNotFoundError):
         pitch_io.load_pitches(spark, os.path.join(scratch, "nope.csv"))
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="lacks required columns"):
         pitch_io.load_pitches(spark, path, required=S.REQUIRED_COLUMNS + ["spin_rate"])
 
 
+def test_csv_numbers_and_missing_tokens(spark, scratch):
+    cols = S.REQUIRED_COLUMNS + ["is_strike"]
+    good = {c: "1" for c in cols} | {"description": "ball", "release_speed": "90.5", "balls": "1.0", "outs_when_up": "2.0", "pitch_type": "N/A", "stand": "R",
+                                     "p_throws": "null", "inning_topbot": "Top", "on_1b": "NaN", "on_2b": "", "is_strike": "0"}
+    path = os.path.join(scratch, "p.csv")
+    write = lambda *rows: open(path, "w").write("\n".join([",".join(cols), *[",".join(r[c] for c in cols) for r in rows]]) + "\n")
+    write(good, good | {"balls": "2", "on_1b": "655555.0"})
+    df = pitch_io.load_pitches(spark, path)
+    assert df.schema["is_strike"].dataType.simpleString() == "int" and df.schema["balls"].dataType.simpleString() == "int"
+    a, b = df.orderBy("balls").collect()
+    assert (a.balls, a.outs_when_up, a.pitch_type, a.p_throws, a.on_1b, a.on_2b, a.is_strike) == (1, 2, None, None, None, None, 0)
+    assert (b.balls, b.on_1b) == (2, 655555.0)
+    assert build_processed(df.drop("is_strike")).count() == 2
+    write(good | {"balls": "1.5"})
+    with pytest.raises(Exception, match="malformed balls: 1.5"):
+        pitch_io.load_pitches(spark, path).collect()
+    assert pitch_io.load_pitches(spark, path, malformed="null").first().balls is None
+
+
+def test_stream_restart_with_defaults_gets_every_row(spark, scratch):
+    raw = pitch_view(spark, SF).select(*[f.name for f in S.RAW_PITCH_SCHEMA.fields], *KEY_COLUMNS[:4])
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    for part in (0, 1):
+        raw.filter(F.col("l_orderkey") % 2 == part).write.mode("append").parquet(src)
+        start_incremental_prep(spark, src, out, schema=raw.schema).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 4094
+
+
 def test_raw_write_skip_and_processed_build(spark, scratch):
     raw = pitch_view(spark, SF)
     p = os.path.join(scratch, "raw.parquet")
@@ -61,7 +90,7 @@ def test_model_auc_floors(spark, split_df, name, floor):
     st = features.fit_state(split_df)
     train = split_df.filter("split = 'train'")
     test = split_df.filter("split = 'test'")
-    m = models.fit_model(train, st, name, **C.MODEL_SIZES[name])
+    m = models.fit_model(train, st, name, **TEST_SIZES[name])
     auc = evaluation.roc_auc(models.score(m, test, st, name)).first()["roc_auc"]
     assert auc >= floor, auc
     imp = models.feature_importance(m, st).collect()
@@ -84,7 +113,7 @@ def test_training_plan_save_load_and_what_if(spark, scratch):
     names = {r["model"] for r in out["metrics_test"].collect()}
     assert names == {"baseline", "logistic_regression", "random_forest"}
     assert pitch_io.list_models(spark, os.path.join(scratch, "models")) == ["logistic_regression", "random_forest"]
-    with pytest.raises(FileNotFoundError, match="Available models"):
+    with pytest.raises(FileNotFoundError, match="saved there"):
         pitch_io.load_model(spark, os.path.join(scratch, "models"), "xgboost")
     m = pitch_io.load_model(spark, os.path.join(scratch, "models"), "random_forest")
     st = features.FeatureState.load(spark, os.path.join(scratch, "models", "_feature_state"))
@@ -104,6 +133,20 @@ def test_dashboard_panels(spark):
     assert panels["zone_grid"].count() == 9
 
 
+def test_panels_of_empty_and_tiny_slices(spark):
+    proc = C._clean(spark, SF).cache()
+    for i, (types, df) in enumerate((([], proc), (["FF"], proc.filter("pitch_type = 'FF'").limit(9)), (["FF"], proc.filter("pitch_type = 'FF'").limit(4)), (["FF"], proc.limit(0)))):
+        spark.sparkContext.setJobGroup(f"build{i}", "build")
+        panels = dashboard_panels(df, types, None, "FF")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build{i}")
+        assert panels["heatmap"].count() == 0
+        assert panels["zone_grid"].count() == 9
+        rows = {n: f.count() for n, f in panels.items()}
+        assert rows["overview"] == 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    proc.unpersist()
+
+
 def test_streaming_prep_equals_batch(spark, scratch):
     raw = pitch_view(spark, SF).select(*[f.name for f in S.RAW_PITCH_SCHEMA.fields], *KEY_COLUMNS[:4])
     src = os.path.join(scratch, "incoming")

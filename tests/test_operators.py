@@ -86,15 +86,15 @@ def test_missing_profile_counts_nan(spark):
 
 # --- exact selection engine ------------------------------------------------------------
 
-@pytest.mark.parametrize("band_rows", [8, 4096])
-def test_exact_quantiles_match_numpy(spark, band_rows):
+def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(7)
     vals = np.concatenate([rng.normal(size=3000), np.full(2000, 0.25), rng.integers(0, 5, 1000).astype(float)])
     grp = np.arange(len(vals)) % 3
     pdf = pd.DataFrame({"g": grp, "v": vals})
     df = spark.createDataFrame(pdf)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = selection.exact_quantiles(df, "v", probs, ["g"], buckets=16, band_rows=band_rows).collect()
+    got = selection.exact_quantiles(df, "v", probs, ["g"]).collect()
+    assert len(got) == 3 * len(probs)
     for r in got:
         exp = np.quantile(pdf[pdf.g == r["g"]].v.to_numpy(), r["prob"])
         assert math.isclose(r["quantile"], exp, rel_tol=1e-12, abs_tol=1e-12)
@@ -108,13 +108,35 @@ def test_medians_null_nan_and_all_null(spark):
 def test_prefix_sums_multi_range(spark):
     pdf = pd.DataFrame({"k": np.arange(500) % 2, "o": np.arange(500) * 1.5, "x": np.arange(500) % 7})
     df = spark.createDataFrame(pdf)
-    out = selection.ordered_prefix_sums(df, "o", ["x"], ["k"], rows_per_range=37).toPandas()
+    out = selection.ordered_prefix_sums(df, "o", ["x"], ["k"]).toPandas()
     for k, g in pdf.groupby("k"):
         exp = g.sort_values("o").x.cumsum().to_numpy()
         got = out[out.k == k].sort_values("o").cum_x.to_numpy()
         assert (exp == got).all()
 
 
+def test_quantiles_with_infinities_nulls_and_integers(spark):
+    inf = float("inf")
+    rows = [("a", v) for v in [1.0, 2.0, inf, -inf, 5.0]] + [(None, 3.0), (None, 7.0), ("b", NAN), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r["g"], r["prob"]): (r["quantile"], r["n"]) for r in selection.exact_quantiles(df, "v", [0.0, 0.5, 1.0], ["g"]).collect()}
+    assert got == {("a", 0.0): (-inf, 5), ("a", 0.5): (2.0, 5), ("a", 1.0): (inf, 5),
+                   (None, 0.0): (3.0, 2), (None, 0.5): (5.0, 2), (None, 1.0): (7.0, 2)}
+    big = spark.range(2**53, 2**53 + 5).withColumnRenamed("id", "v")
+    assert selection.exact_quantiles(big, "v", [0.5]).first()["quantile"] == float(2**53 + 2)
+    assert selection.exact_quantiles(df.limit(0), "v", [0.5], ["g"]).count() == 0
+
+
+def test_quantiles_of_many_groups_and_a_hot_one(spark):
+    df = spark.range(400_000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("g"),
+                                     (F.col("id") / 2).alias("v"))
+    out = selection.exact_quantiles(df, "v", [0.5], ["g"])
+    assert out.count() == 200_001
+    hot = out.filter("g = -1").first()
+    assert (hot["n"], hot["quantile"]) == (200_000, 199_999 / 2)
+    assert out.filter("g <> -1 and (quantile <> g / 2 or n <> 1)").count() == 0
+
+
 # --- zones ------------------------------------------------------------------------------
 
 def test_zone_grid_edges(spark):
@@ -127,7 +149,7 @@ def test_zone_grid_edges(spark):
     assert g2[8] == 1.0 and g2[2] == 0.0 and len(g2) == 9
 
 
-def test_heatmap_counts_sum_and_single_value_error(spark):
+def test_heatmap_counts_sum_and_single_value_axis(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"plate_x": rng.normal(size=500), "plate_z": rng.normal(2.5, 1, 500),
                         "is_strike": rng.integers(0, 2, 500).astype("int32")})
@@ -139,8 +161,11 @@ def test_heatmap_counts_sum_and_single_value_error(spark):
     exp = pdf.assign(x_bin=xb, z_bin=zb).groupby(["x_bin", "z_bin"]).is_strike.agg(["count", "mean"])
     got = cells.set_index(["x_bin", "z_bin"]).sort_index()
     assert (got.n_pitches.to_numpy() == exp["count"].to_numpy()).all()
-    with pytest.raises(ValueError):
-        zones.zone_heatmap(pitches(spark, [(1.0, 2.0, 1), (1.0, 3.0, 0)]), 5)
+    got = {(r["x_bin"], r["z_bin"]) for r in zones.zone_heatmap(pitches(spark, [(1.0, 2.0, 1), (1.0, 3.0, 0)]), 5).collect()}
+    cut = pd.cut(pd.Series([1.0, 1.0]), 5, labels=False)
+    assert got == {(int(cut[0]), 0), (int(cut[0]), 4)}
+    none = pitches(spark, [(1.0, 2.0, 1)]).limit(0)
+    assert zones.zone_heatmap(none, 5).count() == 0 and zones.zone_heatmap_dense(none, 5).count() == 0
 
 
 def test_histogram_matches_numpy_and_widens(spark):
@@ -212,11 +237,18 @@ def test_split_disjoint_complete_stable(spark):
     assert un.filter("split = 'test'").count() == 1000
 
 
-def test_split_forced_narrowing(spark, monkeypatch):
+def test_split_keys_must_identify_rows(spark):
+    one = spark.range(1000).select(F.lit(7).alias("id"), F.lit(1).alias("is_strike"))
+    with pytest.raises(ValueError, match="not unique"):
+        split.stratified_split(one, ["id"])
+    nulls = spark.createDataFrame([(None, "a", 1), ("a", None, 1), ("a", "", 1), ("", "a", 1)], "x string, y string, is_strike int")
+    assert nulls.select(split.split_hash(["x", "y"]).alias("h")).distinct().count() == 4
+    assert split.stratified_split(nulls, ["x", "y"], test_size=0.5).filter("split = 'test'").count() == 2
+    assert split.stratified_split(nulls.limit(0), ["x", "y"]).count() == 0
+
+
+def test_split_takes_the_smallest_hashes(spark):
     df = spark.range(3000).select("id", (F.col("id") % 2).cast("int").alias("is_strike"))
-    import zonecast.operators.split as sp
-    orig = sp.kth_smallest_keys
-    monkeypatch.setattr(sp, "kth_smallest_keys", lambda *a, **k: orig(*a, buckets=8, band_rows=16))
     got = split.stratified_split(df, ["id"]).toPandas()
     pdf = df.toPandas()
     pdf["h"] = [__import__("hashlib").md5(f"42|{i}".encode()).hexdigest() for i in pdf.id]
@@ -283,6 +315,22 @@ def test_zero_denominators(spark):
     assert (m.accuracy, m.precision, m.recall, m.f1) == (1.0, 0.0, 0.0, 0.0)
 
 
+def test_auc_of_many_scores_equals_brute_force_in_few_jobs(spark):
+    rng = np.random.default_rng(8)
+    y = rng.integers(0, 2, 4000)
+    s = rng.random(4000) * 0.7 + y * 0.3
+    df = spark.createDataFrame(pd.DataFrame({"model": np.where(np.arange(4000) % 4 == 0, "a", "b"), "label": y.astype("int32"),
+                                             "prediction": (s >= 0.5).astype("int32"), "score": s}))
+    spark.sparkContext.setJobGroup("auc", "auc")
+    got = {r["model"]: r["roc_auc"] for r in evaluation.metrics_by_model(df).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("auc"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    pick = np.arange(4000) % 4 == 0
+    assert got["a"] == pytest.approx(_auc_brute(y[pick], s[pick]), abs=1e-12)
+    assert got["b"] == pytest.approx(_auc_brute(y[~pick], s[~pick]), abs=1e-12)
+    assert jobs < 20  # adaptive execution counts each shuffle as a job
+
+
 # --- roster and union ---------------------------------------------------------------------------
 
 def test_roster_first_match_and_coverage(spark):
@@ -301,6 +349,73 @@ def test_roster_first_match_and_coverage(spark):
         roster.require_any(tagged.limit(0))
 
 
+def test_roster_first_match_with_a_null_id_is_skipped(spark):
+    people = spark.createDataFrame([("A", "B", 1, None), ("A", "B", 2, 7), ("C", "D", 1, 4), ("C", "D", 2, None)],
+                                   "name_first string, name_last string, pos int, player_id long")
+    r = roster.roster_frame(spark, [{"first": "A", "last": "B"}, {"first": "C", "last": "D"}])
+    assert {(x["first"], x["player_id"]) for x in roster.resolve_ids(r, people, order_col="pos").collect()} == {("C", 4)}
+
+
+def test_numbers_from_text_and_nan(spark):
+    df = spark.createDataFrame([("1",), (" -2.5e1 ",), ("NaN",), ("1d",), ("Infinity",), ("",), (None,), (".5",)], "t string")
+    assert [r[0] for r in df.select(features.coerce_numeric(F.col("t"), text=True)).collect()] == [1.0, -25.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.5]
+    nan = spark.createDataFrame([(NAN,), (None,), (2.0,)], "v double")
+    assert [r[0] for r in nan.select(features.coerce_numeric(F.col("v"))).collect()] == [0.0, 0.0, 2.0]
+
+
+def test_absent_and_nan_columns_when_serving(spark):
+    st = features.FeatureState(["plate_x", "dist_to_zone_center"], {"plate_x": 0.5, "dist_to_zone_center": 9.0}, ["stand"], {"stand": ["L", "R", "Unknown"]})
+    scen = spark.createDataFrame([(NAN, 2.0, 3.5, 1.5)], "plate_x double, plate_z double, sz_top double, sz_bot double")
+    row = features.featurize_with_state(scen, st).first()
+    assert row["plate_x"] == 0.5 and row["dist_to_zone_center"] == 0.0
+    assert row["stand_Unknown"] == 1.0 and row["stand_R"] == 0.0  # an absent column counts as missing values
+
+
+def test_count_matrix_with_any_values(spark):
+    df = spark.createDataFrame([(0, 1.0, 1), (0, 1.5, 0), (1, 1.0, 0)], "balls int, strikes double, is_strike int")
+    got = {r["balls"]: (r["strikes_1.0"], r["strikes_1.5"]) for r in summaries.count_matrix(df).collect()}
+    assert got == {0: (1.0, 0.0), 1: (0.0, 0.0)}
+    assert summaries.count_matrix(df, values=[1.5]).columns == ["balls", "strikes_1.5"]
+
+
+def test_available_features_and_preview(spark):
+    df = spark.createDataFrame([(1, 2)] * 9, "a int, b int")
+    with pytest.warns(UserWarning, match="zz"):
+        assert prep.available_features(df, ["b", "zz"]) == ["b"]
+    assert prep.preview(df, 3).count() == 3
+    assert [r[0] for r in summaries.filter_options(df, "b").collect()] == [2]
+
+
+def test_ordered_outputs_come_in_order(spark):
+    df = spark.createDataFrame([(i % 4, i % 3, "abcd"[i % 4], int(i % 5 == 0)) for i in range(200)], "balls int, strikes int, t string, is_strike int")
+    rates = [(r["strike_rate"], r["t"]) for r in summaries.rate_by(df, "t").collect()]
+    assert rates == sorted(rates, key=lambda x: (-x[0], x[1]))
+    counts = [(r["balls"], r["strikes"]) for r in summaries.rate_by_count(df).collect()]
+    assert counts == sorted(counts)
+    labels = [(r["balls_sort"], r["strikes_sort"]) for r in summaries.rate_by_count_label(df).collect()]
+    assert labels == sorted(labels)
+    assert [r["balls"] for r in summaries.count_matrix(df).collect()] == [0, 1, 2, 3]
+    n = [(r["n"], r["t"]) for r in summaries.value_counts(df, "t").collect()]
+    assert n == sorted(n, key=lambda x: (-x[0], x[1]))
+
+
+def test_histogram_has_no_class_shuffle(spark):
+    df = spark.createDataFrame([(1, 90.0), (0, 80.0)], "is_strike int, release_speed double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = zones.speed_histogram(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_forest_depth_is_checked():
+    with pytest.raises(ValueError, match="at most 30"):
+        from zonecast.operators import models
+        models.make_estimator("random_forest", max_depth=31)
+
+
 def test_union_by_name_missing_columns(spark):
     a = spark.createDataFrame([(1, "x")], "id int, s string")
     b = spark.createDataFrame([(2, 1.5)], "id int, v double")
@@ -309,5 +424,5 @@ def test_union_by_name_missing_columns(spark):
 
 
 def test_required_columns_error(spark):
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="lacks required columns"):
         S.require_columns(spark.createDataFrame([(1,)], "description int"), S.REQUIRED_COLUMNS)

@@ -12,6 +12,7 @@ import argparse
 from zonecast.plans.dataset import prepare_dataset
 from zonecast.plans.training import DEFAULT_MODELS, evaluate_saved_models, train_and_evaluate
 from zonecast.session import build_session
+from zonecast.sources.pitch_io import load_pitches
 
 
 def main(argv=None):
@@ -37,7 +38,7 @@ def main(argv=None):
         out = prepare_dataset(spark, a.raw, a.out, parts)
         print(f"processed rows: {out.count()}")
     else:
-        processed = spark.read.parquet(a.processed)
+        processed = load_pitches(spark, a.processed, required=["is_strike"])
         keys = [k for k in a.keys.split(",") if k]
         if a.cmd == "train":
             res = train_and_evaluate(spark, processed, keys, a.model_names.split(","), models_dir=a.models,

@@ -16,11 +16,6 @@ from zonecast import schema as S
 __all__ = [
     "col_or_lit",
     "strike_label",
-    "nan_to_null",
-    "is_missing",
-    "linspace_edges",
-    "right_closed_bin",
-    "left_closed_bin",
     "zone_mid",
     "dist_to_zone_center",
     "zone_number",
@@ -42,44 +37,6 @@ def strike_label(description: str | Column = "description",
     return F.when(d.isin(list(strikes)), F.lit(1)).when(d.isin(list(balls)), F.lit(0)).cast("int")
 
 
-def nan_to_null(c: str | Column) -> Column:
-    c = col_or_lit(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-
-
-def is_missing(c: str | Column, numeric: bool) -> Column:
-    """pandas' notion of missing: null, and NaN for floating columns."""
-    c = col_or_lit(c)
-    return (c.isNull() | F.isnan(c)) if numeric else c.isNull()
-
-
-def linspace_edges(lo: Column, hi: Column, n: int) -> Column:
-    """n+1 evenly spaced edges from lo to hi; edge_i = i*((hi-lo)/n) + lo and the last edge is hi."""
-    step = (hi - lo) / F.lit(float(n))
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(n)),
-        lambda i: F.when(i == n, hi).otherwise(i.cast("double") * step + lo),
-    )
-
-
-def right_closed_bin(x: str | Column, edges: Column) -> Column:
-    """0-based bin of x for right-closed bins (e0,e1],(e1,e2],...; the lowest edge is included.
-
-    Counts edges strictly below x, so a value equal to an inner edge falls in the
-    bin to its left.  Null input gives a null bin.
-    """
-    x = col_or_lit(x)
-    below = F.size(F.filter(edges, lambda e: e < x))
-    return F.when(x.isNotNull(), F.greatest(below - 1, F.lit(0)))
-
-
-def left_closed_bin(x: str | Column, edges: Column, n: int) -> Column:
-    """0-based bin for left-closed bins [e0,e1),[e1,e2),...,[e_{n-1},e_n] (the last is closed)."""
-    x = col_or_lit(x)
-    at_or_below = F.size(F.filter(edges, lambda e: e <= x))
-    return F.when(x.isNotNull(), F.least(at_or_below - 1, F.lit(n - 1)))
-
-
 def zone_mid(top: str | Column = "sz_top", bot: str | Column = "sz_bot") -> Column:
     return (col_or_lit(top) + col_or_lit(bot)) / F.lit(2.0)
 
@@ -123,17 +80,18 @@ def uniform_bin(x: str | Column, lo: Column, hi: Column, n: int, closed: str = "
     with ``include_lowest``).  ``closed='left'``: bins [e_i, e_i+1), the last one
     closed (NumPy ``histogram``).  The arithmetic guess is corrected against the
     actual edges, so results equal counting edges below x.  Null x gives null;
-    x outside [lo, hi] is the caller's concern.
+    x outside [lo, hi] is the caller's concern; with lo = hi the middle bin is taken
+    (pandas ``cut`` widens a single value evenly to both sides).
     """
     x = col_or_lit(x)
     step = (hi - lo) / F.lit(float(n))
-    g = F.least(F.greatest(F.floor((x - lo) / step), F.lit(0)), F.lit(n - 1)).cast("int")
+    g = F.least(F.greatest(F.floor(F.try_divide(x - lo, step)), F.lit(0)), F.lit(n - 1)).cast("int")
     e_g, e_next = _edge(g, lo, hi, step, n), _edge(g + 1, lo, hi, step, n)
     if closed == "right":
         b = F.when((x <= e_g) & (g > 0), g - 1).when((x > e_next) & (g < n - 1), g + 1).otherwise(g)
     else:
         b = F.when((x < e_g) & (g > 0), g - 1).when((x >= e_next) & (g < n - 1), g + 1).otherwise(g)
-    return F.when(x.isNotNull(), b)
+    return F.when(x.isNotNull() & (hi > lo), b).when(x.isNotNull() & (hi == lo), F.lit((n - 1) // 2))
 
 
 __all__ += ["uniform_bin"]

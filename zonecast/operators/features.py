@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 
 from zonecast import schema as S
 from zonecast.functions import dist_to_zone_center, zone_mid
+from zonecast.operators.prep import available_features
 from zonecast.operators.selection import column_medians
 
 UNKNOWN = "Unknown"
+MAX_CATEGORIES = 10_000  # columns of a matrix
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 @dataclass
@@ -65,16 +68,20 @@ def add_engineered(df: DataFrame) -> DataFrame:
 
 # --- fit ------------------------------------------------------------------------
 
-def category_lists(df: DataFrame, columns: Sequence[str], max_categories: int = 10_000) -> dict[str, list[str]]:
-    """Sorted distinct values (null as 'Unknown') of each column, in one distinct job."""
+def category_lists(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct values (null as 'Unknown') of each column, in one distinct job.
+
+    A category becomes a column of the matrix, so the lists are as wide as the
+    result; more than ``MAX_CATEGORIES`` of one column raise before any is collected."""
     if not columns:
         return {}
     long = df.select([F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value")
     distinct = long.distinct()
-    rows = distinct.limit(max_categories * len(columns) + 1).collect()
-    if len(rows) > max_categories * len(columns):
-        raise ValueError(f"more than {max_categories} categories per column on average; not a one-hot feature")
+    wide = distinct.groupBy("column").count().filter(F.col("count") > MAX_CATEGORIES).collect()
+    if wide:
+        raise ValueError(f"not one-hot features (over {MAX_CATEGORIES} categories): {sorted(r['column'] for r in wide)}")
+    rows = distinct.collect()
     out = {c: [] for c in columns}
     for r in rows:
         out[r["column"]].append(r["value"])
@@ -84,8 +91,8 @@ def category_lists(df: DataFrame, columns: Sequence[str], max_categories: int =
 def fit_state(df: DataFrame, numeric: Sequence[str] = S.NUMERIC_FEATURES,
               categorical: Sequence[str] = S.CATEGORICAL_FEATURES) -> FeatureState:
     e = add_engineered(df)
-    present_num = [c for c in numeric if c in e.columns]
-    present_cat = [c for c in categorical if c in e.columns]
+    present_num = available_features(e, numeric)
+    present_cat = available_features(e, categorical)
     return FeatureState(numeric=present_num, medians=column_medians(e, present_num),
                         categorical=present_cat, categories=category_lists(e, present_cat))
 
@@ -118,8 +125,10 @@ def one_hot_exprs(state: FeatureState, source: dict[str, Column] | None = None)
     return out
 
 
-def coerce_numeric(c: Column) -> Column:
-    return F.coalesce(c.try_cast("double"), F.lit(0.0))
+def coerce_numeric(c: Column, text: bool = False) -> Column:
+    """The number, or 0.0 where there is none: null, NaN, and (for ``text``) anything but a plain decimal number."""
+    number = F.when(c.rlike(NUMBER), F.trim(c).try_cast("double")) if text else c.try_cast("double")
+    return F.when(F.isnan(number), F.lit(0.0)).otherwise(F.coalesce(number, F.lit(0.0)))
 
 
 def feature_columns(df: DataFrame, state: FeatureState, serving: bool = False) -> list[Column]:
@@ -132,13 +141,14 @@ def feature_columns(df: DataFrame, state: FeatureState, serving: bool = False) -
     for c in state.numeric:
         if c in df.columns:
             if serving and c in S.ENGINEERED_FEATURES:
-                expr = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+                expr = F.col(c).cast("double")
             else:
                 expr = impute_expr(c, state)
         else:
             m = state.medians.get(c)
             expr = F.lit(0.0 if (m is None or (serving and c in S.ENGINEERED_FEATURES)) else float(m))
         cols.append(coerce_numeric(expr).alias(c))
+    # an absent column is a column of missing values: 'Unknown', like a null
     src = {c: (F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)) if c in df.columns else F.lit(UNKNOWN))
            for c in state.categorical}
     cols += one_hot_exprs(state, src)

@@ -192,7 +192,7 @@ def first_non_empty(a: str | Column, b: str | Column) -> Column:
 def available_features(df: DataFrame, columns: Sequence[str]) -> list[str]:
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        warnings.warn(f"Missing feature columns: {missing}", stacklevel=2)
+        warnings.warn(f"features without a column are left out: {missing}", stacklevel=2)
     return [c for c in columns if c in df.columns]
 
 

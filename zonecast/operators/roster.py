@@ -1,8 +1,8 @@
 """Roster lookups: names -> player ids, tagging pitches, coverage, unions.
 
-The roster and the people table's matches are small (one row per roster
-entry), so the id table is broadcast to the pitch scan; the people table itself
-is only aggregated (first match per name), never broadcast.
+The roster (checked to be small) is broadcast to the people scan, so only rows
+with a roster name are aggregated; the resolved ids have at most a row per
+roster name and hand and are broadcast to the pitch scan under the same check.
 """
 
 from __future__ import annotations
@@ -15,13 +15,11 @@ from pyspark.sql import functions as F
 from zonecast import schema as S
 from zonecast.operators.prep import first_non_empty
 
-MAX_ROSTER = 100_000
+MAX_ROSTER = 100_000  # rows that are broadcast; a larger roster is joined by a shuffle
 
 
 def roster_frame(spark: SparkSession, pitchers: Sequence[dict] = S.PITCHERS) -> DataFrame:
     """Roster as a DataFrame; the hand comes from 'throws' or, failing that, 'handedness'."""
-    if len(pitchers) > MAX_ROSTER:
-        raise ValueError("roster too large to broadcast")
     rows = [(i, p["first"], p["last"], p.get("throws"), p.get("handedness")) for i, p in enumerate(pitchers)]
     df = spark.createDataFrame(rows, "roster_pos int, first string, last string, throws string, handedness string")
     return df.select("roster_pos", "first", "last", first_non_empty("throws", "handedness").alias("throws"))
@@ -29,23 +27,30 @@ def roster_frame(spark: SparkSession, pitchers: Sequence[dict] = S.PITCHERS) ->
 
 def resolve_ids(roster: DataFrame, people: DataFrame, first_col: str = "name_first", last_col: str = "name_last",
                 id_col: str = "player_id", order_col: str | None = None) -> DataFrame:
-    """First matching id per roster name (smallest ``order_col``; default the id); names
-    with no match or a null id are absent.  The people table is reduced to one row per
-    name with a partial ``min_by`` aggregate before the join."""
+    """Id of the first matching person per roster name (smallest ``order_col``; default the id, nulls
+    first).  Names with no match are absent, and so are names whose first match has a null id."""
     order_col = order_col or id_col
-    first_match = (people.filter(F.col(id_col).isNotNull())
-                   .groupBy(F.col(first_col).alias("first"), F.col(last_col).alias("last"))
-                   .agg(F.min_by(F.col(id_col), F.col(order_col)).alias("player_id")))
+    names = roster.select("first", "last").distinct()
+    named = people.select(F.col(first_col).alias("first"), F.col(last_col).alias("last"),
+                          F.struct(F.col(order_col).alias("o"), F.col(id_col).alias("id")).alias("m"))
+    wanted = named.join(_small(names), on=["first", "last"], how="left_semi")
+    first_match = wanted.groupBy("first", "last").agg(F.min("m").alias("m")).select(
+        "first", "last", F.col("m.id").alias("player_id")).filter(F.col("player_id").isNotNull())
     return roster.join(first_match, on=["first", "last"], how="inner")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted within the bound."""
+    return F.broadcast(df) if df.limit(MAX_ROSTER + 1).count() <= MAX_ROSTER else df
+
+
 def tag_pitches(pitches: DataFrame, ids: DataFrame, pitcher_col: str) -> DataFrame:
     """Inner join pitches to resolved roster ids, adding pitcher_first/last/name/throws_config."""
     tags = ids.select(F.col("player_id").alias(pitcher_col), F.col("first").alias("pitcher_first"),
                       F.col("last").alias("pitcher_last"),
                       F.concat_ws(" ", "first", "last").alias("pitcher_name"),
                       F.col("throws").alias("throws_config"))
-    return pitches.join(F.broadcast(tags), on=pitcher_col, how="inner")  # one row per roster entry
+    return pitches.join(_small(tags), on=pitcher_col, how="inner")
 
 
 def roster_coverage(roster: DataFrame, tagged: DataFrame) -> DataFrame:
@@ -65,7 +70,7 @@ def missing_pitchers(roster: DataFrame, tagged: DataFrame) -> DataFrame:
 
 def require_any(tagged: DataFrame) -> DataFrame:
     if tagged.isEmpty():
-        raise ValueError("No data downloaded for any pitchers.")
+        raise ValueError("none of the roster has a pitch")
     return tagged
 
 

@@ -1,295 +1,130 @@
-"""Exact order statistics and ordered prefix sums without single-task groups.
+"""Exact order statistics and ordered running sums as plans, without a group in one task.
 
 Spark's exact ``percentile``/``median`` aggregate buffers every distinct value of
 a group in one task, and ``row_number()`` over ``PARTITION BY label`` sends half
-the table to one task.  Both break when one group holds a third of 100 TB.  The
-operators here stay exact but only ever move bounded summaries:
+the table to one task.  The operators here rest on one primitive instead:
 
-* ``exact_quantiles`` narrows, per target rank, a value range with one
-  partial-aggregated histogram pass per round (``buckets`` cells per target),
-  then resolves the last few thousand candidates exactly.  Rounds needed are
-  about log_buckets(n); ties collapse a range to a single value immediately.
-* ``kth_smallest_keys`` uses the same narrowing on a 60-bit hash prefix and
-  breaks ties with the full key, for stratified splits.
-* ``ordered_prefix_sums`` computes running sums in a global order by splitting
-  the order into balanced ranges (sketch boundaries), summing each range, and
-  adding each range's offset (a table with one row per range).
+``ordered_prefix_sums`` first reduces to one row per (group, value), range-
+partitions those rows by (group, value) - a hot group falls into as many ranges
+as its share of the rows - and writes them once to the shared folder with the
+number of their range.  Sums inside a range, plus the totals of the group's
+ranges before it, are running sums in the global order.
 
-The driver only sees per-bucket counts (bounded by buckets x targets), never
-rows of the input.
+* ``exact_quantiles`` looks the wanted ranks up in the running counts.
+* ``cutoff_keys`` (stratified splits) counts rows by a 16-bit prefix of a hash,
+  finds the prefix in which each group's k-th key lies, and ranks only the keys
+  of that prefix.
+
+The number of groups, of ranks, or of distinct values has no limit, and the
+driver sees none of them.
 """
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonecast.session import settled
+
 _KEY = "_grp"
-MAX_TARGET_ROWS = 100_000  # targets are (group, rank); groups are column names / classes
 
 
 def _group_key(gcols: Sequence[str]):
     return F.struct(*[F.col(c) for c in gcols]) if gcols else F.struct(F.lit(0).alias("_c"))
 
 
-def _values(df: DataFrame, value_col: str, gcols: Sequence[str]) -> tuple[DataFrame, T.DataType]:
-    dt = df.schema[value_col].dataType
-    integral = isinstance(dt, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    vtype = T.LongType() if integral else T.DoubleType()
-    v = F.col(value_col).cast(vtype)
-    cond = v.isNotNull() if integral else (v.isNotNull() & ~F.isnan(v))
-    out = df.select(_group_key(gcols).alias(_KEY), v.alias("_v")).filter(cond)
-    return out, vtype
-
-
-def _check_groups(stats):
-    if len(stats) > MAX_TARGET_ROWS:
-        raise ValueError(f"more than {MAX_TARGET_ROWS} groups; exact selection is meant for few groups")
-
-
-def _bucket(lo, hi, buckets: int):
-    v = F.col("_v")
-    width = (hi - lo).cast("double")
-    raw = F.floor((v - lo).cast("double") / width * F.lit(float(buckets)))
-    return F.when(hi > lo, F.least(raw, F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-
-
-def _ranges_frame(spark, key_type, vtype, rows):
-    schema = T.StructType([
-        T.StructField("_rid", T.LongType(), False),
-        T.StructField(_KEY, key_type, True),
-        T.StructField("_lo", vtype, True),
-        T.StructField("_hi", vtype, True),
-    ])
-    if len(rows) > MAX_TARGET_ROWS:  # also bounds strata of a split
-        raise ValueError(f"too many selection targets ({len(rows)}); group on fewer keys")
-    return spark.createDataFrame(rows, schema)
-
-
-def _in_ranges(v: DataFrame, ranges: DataFrame) -> DataFrame:
-    # Equi-join on the group key against a small table with one row per active range
-    # (bounded by MAX_TARGET_ROWS, so broadcasting it is safe).
-    j = v.join(F.broadcast(ranges), on=_KEY, how="inner")
-    return j.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-
-
-def narrow_ranks(v: DataFrame, key_type, vtype, targets: dict, *, buckets: int = 1024,
-                 band_rows: int = 4096, max_passes: int = 80, stop_on_tie: bool = True) -> dict:
-    """Shrink [lo, hi] around each target rank.
+def ordered_prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
+                        partition_cols: Sequence[str] = (), *, prefix: str = "cum_") -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` in ascending ``order_col`` (per partition).
 
-    ``targets`` maps tid -> dict(key=Row, rank=int, lo, hi, below=0, cnt=n).
-    Returns the same dict with every target either settled (``value`` set,
-    when ``stop_on_tie`` and its range holds one distinct value) or holding at
-    most ``band_rows`` candidate rows in [lo, hi] with ``below`` rows under lo.
+    ``df`` has one row per (partition, order value).  Nulls in the partition
+    columns form a partition of their own; the order column keeps its type.
     """
-    spark = v.sparkSession
-    for _ in range(max_passes):
-        active = [t for t in targets.values() if "value" not in t and t["cnt"] > band_rows]
-        if not active:
-            break
-        rid_of, rows = {}, []
-        for t in active:
-            k = (t["key"], t["lo"], t["hi"])
-            if k not in rid_of:
-                rid_of[k] = len(rid_of)
-                rows.append((rid_of[k], t["key"], t["lo"], t["hi"]))
-            t["rid"] = rid_of[k]
-        ranges = _ranges_frame(spark, key_type, vtype, rows)
-        hist = (_in_ranges(v, ranges)
-                .withColumn("_b", _bucket(F.col("_lo"), F.col("_hi"), buckets))
-                .groupBy("_rid", "_b")
-                .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"))
-                .collect())
-        by_rid = defaultdict(list)
-        for r in hist:
-            by_rid[r["_rid"]].append((r["_b"], r["_c"], r["_bmin"], r["_bmax"]))
-        for t in active:
-            cells = sorted(by_rid[t["rid"]])
-            want = t["rank"] - t["below"]
-            acc = 0
-            for _b, c, bmin, bmax in cells:
-                if acc + c > want:
-                    t["lo"], t["hi"], t["below"], t["cnt"] = bmin, bmax, t["below"] + acc, c
-                    if stop_on_tie and bmin == bmax:
-                        t["value"] = bmin
-                    break
-                acc += c
-            else:  # pragma: no cover - ranks are always inside the range
-                raise RuntimeError("rank outside narrowed range")
-    return targets
+    key = _group_key(partition_cols)
+    keyed = df.withColumn(_KEY, key).repartitionByRange(_KEY, order_col)
+    ranged = settled(keyed.withColumn("_range", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy(_KEY, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    before = Window.partitionBy(_KEY).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(_KEY, "_range", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
+                                              for c in sum_cols])
+    upto = Window.partitionBy(_KEY, "_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    within = ranged.select("*", *[F.sum(c).over(upto).alias(f"_w_{c}") for c in sum_cols])
+    joined = within.join(offsets, on=[_KEY, "_range"], how="inner")
+    return joined.select(*df.columns, *[(F.col(f"_w_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}")
+                                        for c in sum_cols])
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), *, buckets: int = 1024,
-                    band_rows: int = 4096, persist: bool = False) -> DataFrame:
+                    group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas / DuckDB ``quantile_cont``).
 
-    Nulls and NaN are ignored.  Output: group columns, ``prob``, ``quantile``
-    (null for an empty group) and ``n`` (non-missing rows).
-
-    Each pass re-reads the (pruned) input; ``persist=True`` caches the value
-    column instead, which pays off only when the input is expensive to recompute
-    and small enough to cache (an unpivoted multi-column input is k rows per row).
+    Nulls and NaN are ignored (infinities order as values).  Output: group
+    columns, ``prob``, ``quantile`` and ``n`` (non-missing rows); a group
+    without values has no row.
     """
-    spark = df.sparkSession
     gcols = list(group_cols)
-    v, vtype = _values(df, value_col, gcols)
-    key_type = v.schema[_KEY].dataType
-    if persist:
-        v = v.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = v.groupBy(_KEY).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                    F.max("_v").alias("hi")).limit(MAX_TARGET_ROWS + 1).collect()
-        _check_groups(stats)
-        targets, plan = {}, []
-        for s in stats:
-            n = s["n"]
-            for p in probs:
-                pos = float(p) * (n - 1)
-                r0, r1 = math.floor(pos), math.ceil(pos)
-                for r in {r0, r1}:
-                    tid = (s[_KEY], r)
-                    if tid not in targets:
-                        targets[tid] = dict(key=s[_KEY], rank=r, lo=s["lo"], hi=s["hi"], below=0, cnt=n)
-                        if s["lo"] == s["hi"]:
-                            targets[tid]["value"] = s["lo"]
-                plan.append((s[_KEY], p, n, pos, r0, r1))
-        narrow_ranks(v, key_type, vtype, targets, buckets=buckets, band_rows=band_rows)
-        final = [t for t in targets.values() if "value" not in t]
-        if final:
-            rid_of, rows = {}, []
-            for t in final:
-                k = (t["key"], t["lo"], t["hi"])
-                if k not in rid_of:
-                    rid_of[k] = len(rid_of)
-                    rows.append((rid_of[k], t["key"], t["lo"], t["hi"]))
-                t["rid"] = rid_of[k]
-            ranges = _ranges_frame(spark, key_type, vtype, rows)
-            band = (_in_ranges(v, ranges).groupBy("_rid", "_v").agg(F.count(F.lit(1)).alias("_c")).collect())
-            by_rid = defaultdict(list)
-            for r in band:
-                by_rid[r["_rid"]].append((r["_v"], r["_c"]))
-            for t in final:
-                want, acc = t["rank"] - t["below"], 0
-                for val, c in sorted(by_rid[t["rid"]]):
-                    if acc + c > want:
-                        t["value"] = val
-                        break
-                    acc += c
-    finally:
-        if persist:
-            v.unpersist()
-
-    out_rows = []
-    for key, p, n, pos, r0, r1 in plan:
-        a = float(targets[(key, r0)]["value"])
-        b = float(targets[(key, r1)]["value"])
-        q = a if r0 == r1 else a + (b - a) * (pos - r0)
-        out_rows.append(tuple(key[c] for c in gcols) + (float(p), q, int(n)))
-    schema = T.StructType(
-        [T.StructField(c, df.schema[c].dataType, True) for c in gcols]
-        + [T.StructField("prob", T.DoubleType(), False), T.StructField("quantile", T.DoubleType(), True),
-           T.StructField("n", T.LongType(), False)])
-    return spark.createDataFrame(out_rows, schema)
+    dt = df.schema[value_col].dataType
+    integral = isinstance(dt, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    v = F.col(value_col).cast("long" if integral else "double")
+    ok = v.isNotNull() if integral else (v.isNotNull() & ~F.isnan(v))
+    counts = df.select(_group_key(gcols).alias("_g"), v.alias("_v")).filter(ok) \
+        .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = ordered_prefix_sums(counts, "_v", ["_c"], ["_g"], prefix="_upto")
+    sizes = cum.groupBy("_g").agg(F.max("_upto_c").alias("n"))
+    ranked = cum.join(sizes, "_g")
+    first, last = F.col("_upto_c") - F.col("_c"), F.col("_upto_c") - 1  # ranks that hold this value
+
+    def at(rank):
+        return F.max(F.when((first <= rank) & (rank <= last), F.col("_v").cast("double")))
+
+    pos = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    got = ranked.groupBy("_g").agg(F.max("n").alias("n"), *[e for i, x in enumerate(pos) for e in (
+        at(F.floor(x)).alias(f"_a{i}"), at(F.ceil(x)).alias(f"_b{i}"))])
+    rows = [F.struct(F.lit(float(p)).alias("prob"), F.when(F.col(f"_a{i}") == F.col(f"_b{i}"), F.col(f"_a{i}")).otherwise(
+        F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * (pos[i] - F.floor(pos[i]))).alias("quantile"))
+        for i, p in enumerate(probs)]
+    out = got.select("_g", "n", F.explode(F.array(*rows)).alias("_q"))
+    return out.select(*[F.col("_g")[c].alias(c) for c in gcols], F.col("_q.prob").alias("prob"),
+                      F.col("_q.quantile").alias("quantile"), "n")
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.5,)) -> DataFrame:
+    """(column, prob, quantile, n) of several columns at once (unpivoted to long form)."""
+    long = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+    return exact_quantiles(long, "value", probs, ["column"])
 
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact median of each column in one set of passes (columns unpivoted to long form)."""
-    cols = [c for c in columns]
+    """Exact median of each column (one row per column reaches the driver)."""
+    cols = list(columns)
     if not cols:
         return {}
-    long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "column", "value")
-    res = exact_quantiles(long, "value", [0.5], ["column"]).collect()
-    out = {c: None for c in cols}
-    for r in res:
-        out[r["column"]] = r["quantile"]
-    return out
-
+    found = {r["column"]: r["quantile"] for r in column_quantiles(df, cols).collect()}
+    return {c: found.get(c) for c in cols}
 
-def kth_smallest_keys(df: DataFrame, hash_col: str, key_col: str, ks: dict, group_col: str | None = None,
-                      *, buckets: int = 1024, band_rows: int = 4096, persist: bool = False) -> dict:
-    """For each group g, the k_g-th smallest ``key_col`` (1-based) where ``hash_col`` is a
-    monotone long prefix of ``key_col``.  ``ks`` maps group -> k, or is a function of the
-    group's row count.  Returns {group value: key or None when k is 0}."""
-    spark = df.sparkSession
-    gcols = [group_col] if group_col else []
-    base = df.select(_group_key(gcols).alias(_KEY), F.col(hash_col).cast("long").alias("_v"),
-                     F.col(key_col).alias("_key"))
-    key_type = base.schema[_KEY].dataType
-    if persist:
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = base.groupBy(_KEY).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                       F.max("_v").alias("hi")).limit(MAX_TARGET_ROWS + 1).collect()
-        _check_groups(stats)
-        targets, result = {}, {}
-        for s in stats:
-            g = s[_KEY][group_col] if group_col else None
-            k = int(ks(s["n"]) if callable(ks) else ks.get(g, 0))
-            if k <= 0:
-                result[g] = None
-                continue
-            targets[g] = dict(key=s[_KEY], rank=min(k, s["n"]) - 1, lo=s["lo"], hi=s["hi"], below=0, cnt=s["n"])
-        narrow_ranks(base, key_type, T.LongType(), targets, buckets=buckets, band_rows=band_rows,
-                     stop_on_tie=False)
-        if targets:
-            rows = []
-            for i, (g, t) in enumerate(targets.items()):
-                t["rid"] = i
-                rows.append((i, t["key"], t["lo"], t["hi"]))
-            if any(t["cnt"] > band_rows for t in targets.values()):
-                raise ValueError("split keys are not unique: too many rows share one hash")
-            ranges = _ranges_frame(spark, key_type, T.LongType(), rows)
-            band = _in_ranges(base, ranges).select("_rid", "_key").collect()
-            by_rid = defaultdict(list)
-            for r in band:
-                by_rid[r["_rid"]].append(r["_key"])
-            for g, t in targets.items():
-                keys = sorted(by_rid[t["rid"]])
-                result[g] = keys[t["rank"] - t["below"]]
-    finally:
-        if persist:
-            base.unpersist()
-    return result
 
+def cutoff_keys(df: DataFrame, hash_col: str, quota, group_col: str | None = None) -> DataFrame:
+    """For each group the k-th smallest ``hash_col`` (hexadecimal text, uniform), k = ``quota(rows of the group)``.
 
-def ordered_prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
-                        partition_cols: Sequence[str] = (), *, rows_per_range: int = 1_000_000,
-                        prefix: str = "cum_") -> DataFrame:
-    """Inclusive running sums of ``sum_cols`` in ascending ``order_col`` (per partition).
-
-    ``df`` should already have one row per (partition, order value) so ranges
-    are balanced.  Small inputs use one range; large ones are split into
-    ranges by sketch boundaries, each range summed, and offsets added from a
-    table with one row per range.
+    Output: ``_grp`` (struct of the group column), ``cutoff``, ``k``, ``reached`` (rows up to the
+    cutoff; more than k if rows share the cutoff's hash).  Groups with k = 0 are absent.
     """
-    pcols = list(partition_cols)
-    n_rows = df.count()
-    n_ranges = max(1, math.ceil(n_rows / rows_per_range))
-    if n_ranges == 1:
-        ranged = df.withColumn("_range", F.lit(0))
-    else:
-        probs = [i / n_ranges for i in range(1, n_ranges)]
-        cuts = sorted(set(df.approxQuantile(order_col, probs, 1.0 / (4 * n_ranges))))
-        splits = [-float("inf")] + [c for c in cuts if math.isfinite(c)] + [float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol=order_col, outputCol="_rangef",
-                            handleInvalid="keep").transform(df.withColumn(order_col, F.col(order_col).cast("double")))
-        ranged = ranged.withColumn("_range", F.col("_rangef").cast("int")).drop("_rangef")
-    totals = ranged.groupBy(*pcols, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    w_off = Window.partitionBy(*pcols).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*pcols, "_range", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}")
-                                                for c in sum_cols])
-    w = Window.partitionBy(*pcols, "_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    within = ranged.select("*", *[F.sum(c).over(w).alias(f"_w_{c}") for c in sum_cols])
-    # offsets has one row per (partition, range): n_ranges is bounded by rows/rows_per_range.
-    joined = within.join(F.broadcast(offsets), on=[*pcols, "_range"], how="inner")
-    return joined.select(*df.columns, *[(F.col(f"_w_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}")
-                                        for c in sum_cols])
+    key = _group_key([group_col] if group_col else []).alias("_g")
+    base = df.select(key, F.col(hash_col).alias("_h"), F.substring(hash_col, 1, 4).alias("_p"))
+    cells = base.groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_c"))  # at most 65,536 a group
+    cells = settled(cells, "split-cells")
+    k = cells.groupBy("_g").agg(quota(F.sum("_c")).cast("long").alias("k")).filter("k > 0")
+    upto = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    place = cells.withColumn("_upto", F.sum("_c").over(upto)).join(k, "_g")
+    place = place.filter((F.col("_upto") >= F.col("k")) & (F.col("_upto") - F.col("_c") < F.col("k")))
+    place = settled(place.select("_g", "_p", "k", (F.col("_upto") - F.col("_c")).alias("_below")), "split-place")
+    near = base.join(place.select("_g", "_p"), ["_g", "_p"], "left_semi")  # one 65,536th of the rows
+    same = near.groupBy("_g", "_h").agg(F.count(F.lit(1)).alias("_c"))
+    cum = ordered_prefix_sums(same, "_h", ["_c"], ["_g"], prefix="_upto").join(place.drop("_p"), "_g")
+    hit = cum.filter((F.col("_below") + F.col("_upto_c") >= F.col("k"))
+                     & (F.col("_below") + F.col("_upto_c") - F.col("_c") < F.col("k")))
+    return hit.select(F.col("_g").alias(_KEY), F.col("_h").alias("cutoff"), "k",
+                      (F.col("_below") + F.col("_upto_c")).alias("reached"))

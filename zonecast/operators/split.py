@@ -1,50 +1,52 @@
 """Deterministic stratified train/test split.
 
 Each row gets ``md5(seed | key columns)``; within each class the ``round(t*n)``
-rows with the smallest hash form the test set.  The cut-off hash per class is
-found with the distributed exact selection in ``selection.py`` (histogram
-rounds on a 60-bit hash prefix), so no class is ranked inside one task.  The
-split is a pure function of the key, so it is identical under repartitioning
-and re-execution after executor loss.
+rows with the smallest hash form the test set.  The cut-off hash per class comes
+from ``selection.cutoff_keys``, so no class is ranked inside one task.  The split
+is a pure function of the key, so it is identical under repartitioning and
+re-execution after executor loss.
+
+Key columns must identify rows.  Where repeated keys would move the split off
+its quota, it raises and names the class and both counts.  A null in a key
+column is a value of its own.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast import schema as S
-from zonecast.operators.selection import kth_smallest_keys
+from zonecast.operators.selection import cutoff_keys
+from zonecast.session import settled
 
-MAX_STRATA = 10_000
+NULL_KEY = "\u0000"
 
 
 def split_hash(key_cols: Sequence[str], seed: int | None = S.RANDOM_STATE) -> Column:
     seed = S.RANDOM_STATE if seed is None else seed  # None means default; 0 stays 0
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY)) for c in key_cols]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
-def test_quota(n: int, test_size: float) -> int:
-    return int(math.floor(test_size * n + 0.5))
+def test_quota(n, test_size: float):
+    return F.floor(F.lit(float(test_size)) * n + 0.5)
 
 
 def stratified_split(df: DataFrame, key_cols: Sequence[str], label_col: str = "is_strike",
                      test_size: float = 0.2, seed: int | None = S.RANDOM_STATE, stratify: bool = True,
                      split_col: str = "split") -> DataFrame:
     """Add ``split`` ('train'/'test').  ``key_cols`` must identify rows uniquely."""
-    h = split_hash(key_cols, seed)
-    hashed = df.withColumn("_h", h).withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
+    hashed = df.withColumn("_h", split_hash(key_cols, seed))
     group = label_col if stratify else None
-    # one stats job per stratum (count, hash range) both sizes the quota and seeds the search
-    cut = kth_smallest_keys(hashed, "_h60", "_h", lambda n: test_quota(n, test_size), group)
-    if len(cut) > MAX_STRATA:
-        raise ValueError("too many strata for a stratified split")
-    if group:
-        pairs = [x for g, t in cut.items() if t is not None for x in (F.lit(g), F.lit(t))]
-        thr = F.create_map(*pairs)[F.col(group)] if pairs else F.lit(None).cast("string")
-    else:
-        thr = F.lit(cut[None]).cast("string")
-    return hashed.withColumn(split_col, F.when(F.col("_h") <= thr, "test").otherwise("train")).drop("_h", "_h60")
+    cut = settled(cutoff_keys(hashed, "_h", lambda n: test_quota(n, test_size), group), "split-cutoffs")
+    off = cut.filter("reached <> k").limit(5).collect()
+    if off:
+        raise ValueError(f"split keys {list(key_cols)} are not unique: " + ", ".join(
+            f"{tuple(r['_grp'])} would get {r['reached']} test rows instead of {r['k']}" for r in off))
+    # one row a class: its file's size decides whether Spark broadcasts it
+    own = hashed.withColumn("_grp", F.struct(F.col(group)) if group else F.struct(F.lit(0).alias("_c")))
+    both = own.join(cut.select("_grp", "cutoff"), "_grp", "left")
+    return both.select(*df.columns, F.when(F.col("_h") <= F.col("cutoff"), "test").otherwise("train").alias(split_col))

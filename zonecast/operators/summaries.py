@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonecast.operators.selection import exact_quantiles, column_medians
-from zonecast.functions import safe_div
+from zonecast.operators.selection import column_quantiles, exact_quantiles
 
 LABEL = "is_strike"
+MAX_MATRIX_COLUMNS = 1000
 
 
 def overview_totals(df: DataFrame, label_col: str = LABEL) -> DataFrame:
@@ -66,13 +66,18 @@ def rate_by_count_label(df: DataFrame, balls_col: str = "balls", strikes_col: st
 def count_matrix(df: DataFrame, row_col: str = "balls", col_col: str = "strikes", label_col: str = LABEL,
                  values: Sequence | None = None, prefix: str | None = None) -> DataFrame:
     """Mean label pivoted rows x columns, missing cells 0.  Columns are named
-    ``<col_col>_<value>``.  Pass ``values`` to skip the distinct-values job."""
+    ``<col_col>_<value>``.  Pass ``values`` to skip the distinct-values job; without
+    them more than ``MAX_MATRIX_COLUMNS`` distinct values raise, as a result can't have that many columns."""
     prefix = prefix or f"{col_col}_"
     base = df.filter(F.col(row_col).isNotNull() & F.col(col_col).isNotNull())
     if values is None:
-        values = [r[0] for r in base.select(col_col).distinct().orderBy(col_col).collect()]
+        values = [r[0] for r in base.select(col_col).distinct().orderBy(col_col).limit(MAX_MATRIX_COLUMNS + 1).collect()]
+        if len(values) > MAX_MATRIX_COLUMNS:
+            raise ValueError(f"{col_col} has more than {MAX_MATRIX_COLUMNS} values; pass the wanted ones")
     p = base.groupBy(row_col).pivot(col_col, list(values)).agg(F.avg(label_col))
-    renamed = p.select(row_col, *[F.coalesce(F.col(str(v)), F.lit(0.0)).alias(f"{prefix}{v}") for v in values])
+    cells = p.columns[len(p.columns) - len(values):]  # in the order of ``values``
+    renamed = p.select(row_col, *[F.coalesce(F.col("`" + c.replace("`", "``") + "`"), F.lit(0.0)).alias(f"{prefix}{v}")
+                                  for c, v in zip(cells, values)])
     return renamed.orderBy(row_col)
 
 
@@ -113,8 +118,8 @@ def describe_by_class(df: DataFrame, value_col: str = "release_speed", class_col
     q = exact_quantiles(base, value_col, [0.25, 0.5, 0.75], [class_col])
     pick = {name: F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)
             for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))}
-    qw = q.groupBy(class_col).agg(*pick.values())
-    return moments.join(qw, on=class_col, how="left").select(
+    qw = q.groupBy(F.col(class_col).alias("_class")).agg(*pick.values())
+    return moments.join(qw, F.col(class_col).eqNullSafe(F.col("_class")), "left").select(
         class_col, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -131,9 +136,9 @@ def filter_options_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def median_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, median) for each column; exact and interpolated, computed together."""
-    spark = df.sparkSession
-    meds = column_medians(df, columns)
-    return spark.createDataFrame([(c, meds[c]) for c in columns], "column string, median double")
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    found = column_quantiles(df, columns).select("column", F.col("quantile").alias("median"))
+    return names.join(found, "column", "left")
 
 
 def slice_summary(df: DataFrame, label_col: str = LABEL, speed_col: str = "release_speed") -> DataFrame:
@@ -150,5 +155,3 @@ def axis_extents(df: DataFrame, x_col: str = "plate_x", z_col: str = "plate_z")
 def split_balance(df: DataFrame, split_col: str = "split", label_col: str = LABEL) -> DataFrame:
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(label_col).alias("strike_rate"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["safe_div"]

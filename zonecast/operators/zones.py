@@ -1,7 +1,7 @@
 """Plate-location binning: heatmaps, the 3x3 rule-book grid, speed histograms.
 
 Bounds are one-row aggregates used as scalar subqueries (computed once, no
-cross join); per-class bounds are a join against one row per class.  Cells are
+cross join); per-class bounds are a broadcast of one counted row per class.  Cells are
 partial-aggregated, so hot cells never skew a shuffle.
 """
 
@@ -13,29 +13,28 @@ from pyspark.sql import types as T
 
 from zonecast import schema as S
 from zonecast.functions import uniform_bin, zone_number
+from zonecast.session import settled
 
 LABEL = "is_strike"
+MAX_BROADCAST_CLASSES = 200_000  # three numbers a class
 
 
 def zone_heatmap(df: DataFrame, bins: int = 20, x_col: str = "plate_x", z_col: str = "plate_z",
                  label_col: str = LABEL) -> DataFrame:
     """Mean label per (x_bin, z_bin) cell; bins are equal-width from each axis' min to max,
-    right-closed with the lowest value included.  Cells with no rows are absent.
+    right-closed with the lowest value included; an axis with a single value takes its
+    middle bin.  Cells with no rows are absent, so an empty input gives an empty frame.
 
     Output: x_bin, z_bin, n_pitches, strike_prob.
     """
     S.require_columns(df, [x_col, z_col, label_col], "heatmap input")
-    # One tiny aggregate job; the four bounds then enter the plan as literals.
-    b = df.agg(F.min(x_col).cast("double").alias("x_lo"), F.max(x_col).cast("double").alias("x_hi"),
-               F.min(z_col).cast("double").alias("z_lo"), F.max(z_col).cast("double").alias("z_hi")).first()
-    if b["x_lo"] is None or b["z_lo"] is None:
-        raise ValueError("heatmap input has no located pitches")
-    if b["x_lo"] == b["x_hi"] or b["z_lo"] == b["z_hi"]:
-        raise ValueError("heatmap axis has a single value; equal-width bins need min < max")
-    lit = lambda v: F.lit(float(v))
-    cells = (df.select(uniform_bin(x_col, lit(b["x_lo"]), lit(b["x_hi"]), bins, "right").alias("x_bin"),
-                       uniform_bin(z_col, lit(b["z_lo"]), lit(b["z_hi"]), bins, "right").alias("z_bin"),
-                       F.col(label_col).alias("_y"))
+    # the four bounds are scalar subqueries over one shared aggregate, so building the plan runs no job
+    bound = lambda f, c: df.agg(f(c).cast("double").alias("v")).scalar()
+    cells = (df.select(F.col(x_col).alias("_x"), F.col(z_col).alias("_z"), F.col(label_col).alias("_y"),
+                       bound(F.min, x_col).alias("_x_lo"), bound(F.max, x_col).alias("_x_hi"),
+                       bound(F.min, z_col).alias("_z_lo"), bound(F.max, z_col).alias("_z_hi"))
+             .select(uniform_bin("_x", F.col("_x_lo"), F.col("_x_hi"), bins, "right").alias("x_bin"),
+                     uniform_bin("_z", F.col("_z_lo"), F.col("_z_hi"), bins, "right").alias("z_bin"), "_y")
              .filter(F.col("x_bin").isNotNull() & F.col("z_bin").isNotNull()))
     return cells.groupBy("x_bin", "z_bin").agg(F.count(F.lit(1)).alias("n_pitches"),
                                                F.avg("_y").alias("strike_prob"))
@@ -47,10 +46,12 @@ def zone_heatmap_dense(df: DataFrame, bins: int = 20, **kw) -> DataFrame:
     Built as pivot (z bins become columns, at most ``bins``) then unpivot, so the
     grid is completed without a cross join.  Output: x_bin, z_bin, strike_prob.
     """
-    cells = zone_heatmap(df, bins, **kw)
+    cells = settled(zone_heatmap(df, bins, **kw), "heatmap-cells")  # at most bins * bins rows; the source is read once
     z_seen = [r[0] for r in cells.select("z_bin").distinct().orderBy("z_bin").collect()]  # <= bins values
     wide = cells.groupBy("x_bin").pivot("z_bin", z_seen).agg(F.first("strike_prob"))
     names = [str(z) for z in z_seen]
+    if not names:
+        return cells.select("x_bin", "z_bin", "strike_prob")
     wide = wide.select("x_bin", *[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(f"z{n}") for n in names])
     long = wide.unpivot(["x_bin"], [f"z{n}" for n in names], "_z", "strike_prob")
     return long.select("x_bin", F.substring("_z", 2, 10).cast("int").alias("z_bin"), "strike_prob")
@@ -109,8 +110,11 @@ def speed_histogram(df: DataFrame, value_col: str = "release_speed", class_col:
     bounds = bounds.select(class_col,
                            F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
                            F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
-    # bounds has one row per class; the planner broadcasts it when small (AQE runtime size check).
-    j = base.select(class_col, v.cast("double").alias("_v")).join(bounds, on=class_col, how="inner")
+    # one row per class: broadcast while counted small, so the class key is never shuffled before the partial aggregate
+    bounds = settled(bounds.withColumnRenamed(class_col, "_class"), "class-bounds")
+    small = bounds.count() <= MAX_BROADCAST_CLASSES
+    j = base.select(class_col, v.cast("double").alias("_v")).join(
+        F.broadcast(bounds) if small else bounds, F.col(class_col) == F.col("_class"), "inner")
     lo, hi = F.col("_lo"), F.col("_hi")
     binned = j.select(class_col, uniform_bin("_v", lo, hi, bins, "left").alias("bin"), lo, hi)
     agg = binned.groupBy(class_col, "bin").agg(F.count(F.lit(1)).alias("n"), F.first("_lo").alias("_lo"),

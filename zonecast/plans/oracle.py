@@ -342,3 +342,35 @@ from events where value is not null and not isnan(value) group by event_type"""
 SQL["orders_rate_by_priority"] = """
 select o_orderpriority, count(*) as n_pitches, avg(cast(o_orderstatus = 'F' as int)) as strike_rate
 from orders where o_orderpriority is not null group by o_orderpriority"""
+
+# --- many groups, continuous scores, text numbers ------------------------------------
+SQL["events_describe_by_user"] = """
+select user_id, count(*) as count, round(avg(value), 6) as mean, round(stddev_samp(value), 6) as std,
+ round(min(value), 6) as min, round(quantile_cont(value, 0.25), 6) as q25, round(quantile_cont(value, 0.5), 6) as q50,
+ round(quantile_cont(value, 0.75), 6) as q75, round(max(value), 6) as max
+from events where value is not null group by user_id"""
+SQL["orders_median_by_customer"] = """
+select o_custkey, count(o_totalprice) as n, round(quantile_cont(o_totalprice, 0.5), 6) as median from orders
+where o_totalprice is not null group by o_custkey"""
+_CONT = """cont as (select is_strike as label, cast(1 as double) / (1 + coalesce(sqrt(plate_x * plate_x
+  + (plate_z - (sz_top + sz_bot) / 2) * (plate_z - (sz_top + sz_bot) / 2)), 100)) as score from clean),
+dist as (select score, count(*) filter (where label = 1) as pos, count(*) filter (where label = 0) as neg from cont group by score),
+run as (select score, pos, neg, sum(pos) over (order by score) as cpos, sum(neg) over (order by score) as cneg from dist),
+tot as (select sum(pos) as p, sum(neg) as n from dist)"""
+SQL["roc_auc_continuous"] = with_base("""
+select 'distance' as model, round(sum(cast(pos as double) * (cneg - neg + neg / 2.0)) / (any_value(tot.p) * cast(any_value(tot.n) as double)), 6) as roc_auc,
+ cast(any_value(tot.p) as bigint) as n_pos, cast(any_value(tot.n) as bigint) as n_neg from run, tot""", extra=_CONT)
+SQL["roc_curve_continuous"] = with_base("""
+select 'distance' as model, round(score, 9) as threshold, round(cast(n - (cneg - neg) as double) / n, 9) as fpr,
+ round(cast(p - (cpos - pos) as double) / p, 9) as tpr from run, tot
+union all select 'distance', null, 0.0, 0.0""", extra=_CONT)
+SQL["coerce_numeric_text"] = """
+select event_id, case when regexp_full_match(props, '\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*')
+  then cast(props as double) else 0.0 end as props_num, cast(0 as double) as suffixed, cast(user_id as double) as user_num from events"""
+SQL["roster_null_first"] = """
+with r(first, last) as (values ('red', 'plate'), ('small', 'widget'), ('hot', 'plate'), ('large', 'rod'), ('blue', 'bolt'), ('purple', 'unicorn')),
+m as (select split_part(p_name, ' ', 1) as first, split_part(p_name, ' ', 2) as last, min(p_partkey) as k from part group by 1, 2)
+select first, last, k as player_id from r join m using (first, last) where k % 3 <> 0"""
+SQL["logistic_score_counts"] = with_base("""
+select 'logistic_regression' as model, is_strike as label, count(*) as n, count(*) as n_probabilities
+from split_rows where split = 'test' group by is_strike""", extra=_SPLIT)

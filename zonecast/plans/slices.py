@@ -3,7 +3,7 @@ what-if scoring over a table of scenarios."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -13,26 +13,55 @@ from zonecast.operators import features, models, prep, summaries, zones
 from zonecast.operators.features import FeatureState
 
 
+class Panels(Mapping):
+    """Panel frames by name; a frame is built when it is first asked for, so unused panels cost nothing."""
+
+    def __init__(self, builders: dict):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def dashboard_panels(df: DataFrame, pitch_types: Sequence[str] | None, pitchers: Sequence[str] | None = None,
                      heatmap_pitch_type: str = "All", bins: int = 25, grid_value: str = "count",
-                     grid_filters: dict | None = None) -> dict[str, DataFrame]:
-    """Every panel of the view for one filter state (lazy frames; evaluate what you show)."""
+                     grid_filters: dict | None = None, metrics: DataFrame | None = None,
+                     importances: DataFrame | None = None) -> Panels:
+    """Every panel of the view for one filter state.  An empty or tiny slice gives empty or zero frames.
+
+    ``metrics`` (stored metrics) and ``importances`` add the model panels.
+    """
     df = prep.derive_name(df)
     cond = prep.multiselect_condition(df, pitch_types, pitchers)
     shown = df.filter(cond)
     heat = prep.filter_slice(shown, pitch_type=heatmap_pitch_type)
     grid_src = prep.filter_slice(df, **(grid_filters or {}))
-    return {
-        "shown_vs_total": prep.shown_vs_total(df, cond),
-        "overview": summaries.overview_totals(shown),
-        "rate_by_pitch_type": summaries.rate_by(shown, "pitch_type"),
-        "rate_by_count": summaries.rate_by_count_label(shown),
-        "speed_histogram": zones.speed_histogram(shown),
-        "heatmap": zones.zone_heatmap(prep.min_rows_gate(heat, 10), bins),
-        "heatmap_summary": summaries.slice_summary(heat),
-        "zone_grid": zones.zone_grid_scaled(prep.min_rows_gate(grid_src, 5), grid_value),
-        "grid_summary": summaries.overview_totals(grid_src),
+    options = [c for c in ("pitch_type", "pitcher_name", "stand", "p_throws", "balls", "strikes") if c in df.columns]
+    panels = {
+        "filter_options": lambda: summaries.filter_options_all(df, options),
+        "shown_vs_total": lambda: prep.shown_vs_total(df, cond),
+        "overview": lambda: summaries.overview_totals(shown),
+        "rate_by_pitch_type": lambda: summaries.rate_by(shown, "pitch_type"),
+        "rate_by_count": lambda: summaries.rate_by_count_label(shown),
+        "speed_histogram": lambda: zones.speed_histogram(shown),
+        "heatmap": lambda: zones.zone_heatmap(prep.min_rows_gate(heat, 10), bins),
+        "heatmap_summary": lambda: summaries.slice_summary(heat),
+        "zone_grid": lambda: zones.zone_grid_scaled(prep.min_rows_gate(grid_src, 5), grid_value),
+        "grid_summary": lambda: summaries.overview_totals(grid_src),
     }
+    if metrics is not None:
+        panels["metrics"] = lambda: metrics
+    if importances is not None:
+        panels["top_importances"] = lambda: models.top_importances(importances)
+    return Panels(panels)
 
 
 def what_if(model: PipelineModel, state: FeatureState, scenarios: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

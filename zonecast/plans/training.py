@@ -10,20 +10,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.operators import evaluation, features, models, split
-from zonecast.session import shared_path
+from zonecast.session import drop_path, settled, shared_path
 from zonecast.sources import pitch_io
 
 DEFAULT_MODELS = ("baseline", "logistic_regression", "random_forest", "boosted_trees")
 
 
-def persist_split(spark: SparkSession, df: DataFrame, key_cols: Sequence[str], **kw) -> DataFrame:
+def persist_split(spark: SparkSession, df: DataFrame, key_cols: Sequence[str], **kw) -> tuple[DataFrame, str]:
+    """The split table, and the shared folder it lies in (drop it after use)."""
     path = shared_path(spark, f"split-{uuid.uuid4().hex}")
     split.stratified_split(df, key_cols, **kw).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def train_and_evaluate(spark: SparkSession, processed: DataFrame, key_cols: Sequence[str],
@@ -34,10 +34,11 @@ def train_and_evaluate(spark: SparkSession, processed: DataFrame, key_cols: Sequ
     'metrics_train', 'metrics_test'}.  ``fit_on='train'`` fits medians and
     categories on the training rows only (the default fits on all rows)."""
     sizes = sizes or {}
-    s = persist_split(spark, processed, key_cols)
+    s, path = persist_split(spark, processed, key_cols)
     state = features.fit_state(s.filter("split = 'train'") if fit_on == "train" else s)
-    fm = features.transform(s, state, keep=list(key_cols) + ["is_strike", "split"])
-    fm = fm.persist(StorageLevel.MEMORY_AND_DISK)
+    # the matrix is written once: fitting, scoring and evaluation read it, and the split table can go
+    fm = settled(features.transform(s, state, keep=list(key_cols) + ["is_strike", "split"]), "matrix")
+    drop_path(spark, path)
     train, test = fm.filter("split = 'train'"), fm.filter("split = 'test'")
     fitted, p_train, p_test = {}, [], []
     for name in model_names:
@@ -51,11 +52,11 @@ def train_and_evaluate(spark: SparkSession, processed: DataFrame, key_cols: Sequ
         p_test.append(models.score(m, test, state, name, key_cols))
         if models_dir:
             pitch_io.save_model(m, models_dir, name)
-    pred_train = _union(p_train)
-    pred_test = _union(p_test)
+    pred_train = settled(_union(p_train), "predictions")
+    pred_test = settled(_union(p_test), "predictions")
     out = {"state": state, "models": fitted, "predictions_train": pred_train, "predictions_test": pred_test,
-           "metrics_train": evaluation.metrics_by_model(pred_train),
-           "metrics_test": evaluation.metrics_by_model(pred_test)}
+           "metrics_train": settled(evaluation.metrics_by_model(pred_train), "metrics"),
+           "metrics_test": settled(evaluation.metrics_by_model(pred_test), "metrics")}
     if metrics_base:
         pitch_io.save_metrics(out["metrics_train"], metrics_base + "_train")
         pitch_io.save_metrics(out["metrics_test"], metrics_base + "_test")
@@ -80,14 +81,15 @@ def evaluate_saved_models(spark: SparkSession, processed: DataFrame, key_cols: S
     """
     names = pitch_io.list_models(spark, models_dir)
     if not names:
-        raise FileNotFoundError(f"No trained models found in {models_dir}")
+        raise FileNotFoundError(f"{models_dir} holds no saved model")
     state = features.FeatureState.load(spark, models_dir.rstrip("/") + "/_feature_state")
-    s = persist_split(spark, processed, key_cols)
+    s, path = persist_split(spark, processed, key_cols)
     train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
     preds = [models.baseline_scores(train, test, key_cols)] if include_baseline else []
     for n in names:
         preds.append(models.score(pitch_io.load_model(spark, models_dir, n), test, state, n, key_cols))
-    metrics = evaluation.metrics_by_model(_union(preds))
+    metrics = settled(evaluation.metrics_by_model(_union(preds)), "metrics")
+    drop_path(spark, path)
     if metrics_base:
         pitch_io.save_metrics(metrics, metrics_base + "_test")
     return metrics

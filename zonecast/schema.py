@@ -127,7 +127,6 @@ def require_columns(df, columns, what="input"):
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(
-            f"Missing required columns in {what}: {missing}. "
-            f"Available columns: {list(df.columns)}"
+            f"{what} lacks required columns {missing}; it has {list(df.columns)}"
         )
     return df

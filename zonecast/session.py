@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "zonecast") -> SparkSession:
@@ -35,14 +36,20 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting a scratch one only if unset."""
+    """The reliable checkpoint directory (``spark.checkpoint.dir``).
+
+    On a local master, where driver and executors are one machine, a scratch
+    folder is set if it is unset; on a cluster that would lose data, so it raises.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="zonecast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        configured = tempfile.mkdtemp(prefix="zonecast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -53,6 +60,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and read it back.
+
+    Later steps neither repeat its work nor lose it with an executor, and its
+    file size tells the planner whether it may be broadcast.
+    """
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder through Hadoop's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per SparkContext (what ``--py-files`` does)."""
     sc = spark.sparkContext

@@ -7,7 +7,6 @@ parquet by default so later scans get column pruning and predicate pushdown.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -33,25 +32,57 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+# fixed values: text that stands for a missing value in the original's CSV files
+MISSING_TEXT = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+CSV_SCHEMA = T.StructType([*S.RAW_PITCH_SCHEMA.fields, T.StructField("is_strike", T.IntegerType(), True)])
+
+
+def typed(df: DataFrame, schema: T.StructType = CSV_SCHEMA, malformed: str = "fail") -> DataFrame:
+    """Text columns as read from CSV, in the types of ``schema`` (other columns stay text).
+
+    Missing tokens are null.  Whole numbers may be written as ``1`` or ``1.0``.  Other
+    text in a numeric column (or a fraction in a whole-number column) fails the query and
+    names column and value; ``malformed='null'`` makes it null instead.
+    """
+    if malformed not in ("fail", "null"):
+        raise ValueError("malformed must be 'fail' or 'null'")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    out = []
+    for c in df.columns:
+        raw = F.trim(F.col(c))
+        text = F.when(~raw.isin(*MISSING_TEXT), F.col(c))
+        kind = kinds.get(c, T.StringType())
+        if isinstance(kind, T.StringType):
+            out.append(text.alias(c))
+            continue
+        if isinstance(kind, T.NumericType):
+            number = text.try_cast("double")
+            whole = isinstance(kind, T.IntegralType)
+            value = F.when(number == F.floor(number), number.cast(kind)) if whole else F.when(~F.isnan(number), number.cast(kind))
+        else:
+            value = text.try_cast(kind)
+        if malformed == "fail":
+            value = F.when(text.isNotNull() & value.isNull(), F.raise_error(
+                F.concat(F.lit(f"malformed {c}: "), text)).cast(kind)).otherwise(value)
+        out.append(value.alias(c))
+    return df.select(*out)
+
+
 def load_pitches(spark: SparkSession, path: str, fmt: str | None = None,
-                 schema: T.StructType | None = None, required: Sequence[str] = S.REQUIRED_COLUMNS) -> DataFrame:
+                 schema: T.StructType | None = None, required: Sequence[str] = S.REQUIRED_COLUMNS,
+                 malformed: str = "fail") -> DataFrame:
     """Read a raw or processed pitch table (CSV with header, or parquet).
 
     Missing path -> FileNotFoundError; missing required columns -> ValueError
-    listing missing and available columns.  CSV text 'NA'/'NaN'/'' is missing.
+    listing missing and available columns.  CSV values are typed by ``typed``.
     """
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Raw data file not found: {path}")
+        raise FileNotFoundError(f"no pitch table at {path}")
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("nullValue", "NA").option("nanValue", "NaN")
-        if schema is None:
-            # Header-only pass to learn the column names, then read every known
-            # column with its declared type and anything else as string.
-            header = spark.read.option("header", True).csv(path).columns
-            known = {f.name: f for f in S.RAW_PITCH_SCHEMA.fields}
-            schema = T.StructType([known.get(c, T.StructField(c, T.StringType(), True)) for c in header])
-        df = reader.schema(schema).csv(path)
+        text = spark.read.option("header", True).csv(path)  # every column as text
+        df = typed(text, schema or CSV_SCHEMA, malformed)
     else:
         df = spark.read.parquet(path)
     S.require_columns(df, required, "pitch table")
@@ -80,7 +111,8 @@ def save_processed(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 
 def save_metrics(metrics: DataFrame, base_path: str) -> None:
     """Write ``<base>.csv`` and ``<base>.json`` directories; NaN becomes null."""
-    clean = _normalise_nan(metrics).coalesce(1)  # one row per model
+    rows = _normalise_nan(metrics).collect()  # one row per model: evaluated once, written twice
+    clean = metrics.sparkSession.createDataFrame(rows, metrics.schema).coalesce(1)
     clean.write.mode("overwrite").option("header", True).csv(base_path + ".csv")
     clean.write.mode("overwrite").json(base_path + ".json")
 
@@ -116,7 +148,7 @@ def list_models(spark: SparkSession, models_dir: str) -> list[str]:
 def load_model(spark: SparkSession, models_dir: str, name: str) -> PipelineModel:
     available = list_models(spark, models_dir)
     if name not in available:
-        raise FileNotFoundError(f"Model not found: {name}. Available models: {available}")
+        raise FileNotFoundError(f"no model {name} in {models_dir}; saved there: {available}")
     return PipelineModel.load(models_dir.rstrip("/") + "/" + name)
 
 
@@ -126,4 +158,4 @@ def load_all_models(spark: SparkSession, models_dir: str) -> dict[str, PipelineM
 
 
 __all__ = ["load_pitches", "save_raw", "save_processed", "save_metrics", "read_metrics", "get_model_metrics",
-           "save_model", "list_models", "load_model", "load_all_models", "os"]
+           "save_model", "list_models", "load_model", "load_all_models", "typed"]
