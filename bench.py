@@ -60,6 +60,7 @@ def main():
     timed("describe_by_class", lambda: run(summaries.describe_by_class(df, "release_speed", "is_strike")))
     timed("median_profile", lambda: run(summaries.median_profile(df, S.NUMERIC_CONTEXT + S.NUMERIC_PITCH)))
     timed("zone_heatmap", lambda: run(zones.zone_heatmap(df, 25)))
+    timed("zone_heatmap_dense", lambda: run(zones.zone_heatmap_dense(df, 25)))
     timed("zone_grid_prob", lambda: run(zones.zone_grid(df, "prob")))
     timed("speed_histogram", lambda: run(zones.speed_histogram(df)))
 
@@ -92,6 +93,7 @@ def main():
         run(evaluation.metrics_by_model(models.score(mdl, fm_test, st, name, KEY_COLUMNS)))
     timed("logistic_regression", lambda: fit_and_score("logistic_regression"))
     timed("random_forest_20", lambda: fit_and_score("random_forest", num_trees=20, max_depth=8))
+    timed("boosted_trees_20", lambda: fit_and_score("boosted_trees", max_iter=20))
 
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_headline_sec", "value": total, "unit": "sec", "queries": times,

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonecast import schema as S
 from zonecast.sources.scan import spread
 
 # Columns kept from lineitem that identify a row: (orderkey, partkey, suppkey,
@@ -47,10 +48,8 @@ def pitch_view_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
     k, k2 = F.col("k"), F.col("k2")
 
-    strike_names = F.array(*[F.lit(x) for x in ["called_strike", "swinging_strike", "swinging_strike_blocked",
-                                                  "foul", "foul_tip", "missed_bunt"]])
-    ball_names = F.array(*[F.lit(x) for x in ["ball", "blocked_ball", "intent_ball", "ball_in_dirt",
-                                              "pitchout", "hit_by_pitch"]])
+    strike_names = F.array(*[F.lit(x) for x in S.STRIKE_DESCRIPTIONS])
+    ball_names = F.array(*[F.lit(x) for x in S.BALL_DESCRIPTIONS])
     # (in_zone and k <> 0) or (not in_zone and k <= 1), with in_zone evaluated once
     strike_like = F.when(in_zone, k != 0).otherwise(k <= 1)
     idx = k2.cast("int") + 1  # element_at is 1-based
