@@ -281,3 +281,19 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
 def near_duplicate_report(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
     return near_duplicates(docs, words, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+#: DuckDB SQL for the rows of ``near_duplicate_report`` (4 words, 80 percent): every pair that shares a shingle.
+ORACLE = r"""with recursive words as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents where doc_id is not null),
+ sets as (select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+   else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as s from words),
+ size as (select doc_id, cast(len(s) as bigint) as n from sets),
+ held as (select doc_id, unnest(s) as g from sets),
+ shared as (select a.doc_id as a, b.doc_id as b, count(*) as o from held a join held b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+ links as (select a, b from shared join size x on x.doc_id = a join size y on y.doc_id = b where 100 * o >= 80 * (x.n + y.n - o)),
+ edges as (select a as src, b as dst from links union all select b, a from links),
+ reach(doc_id, r) as (select doc_id, doc_id from size union select reach.doc_id, edges.dst from reach join edges on edges.src = reach.r)
+select doc_id, n as n_shingles, component_id, doc_id = component_id as kept
+from (select doc_id, min(r) as component_id from reach group by doc_id) join size using (doc_id)"""

@@ -69,4 +69,4 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "pipeline": pipeline,
 }
-SQL: dict[str, str] = {"op1_decontaminate": decontam.ORACLE}
+SQL: dict[str, str] = {"op1_decontaminate": decontam.ORACLE, "op7_near_duplicates": neardup.ORACLE}
