@@ -83,22 +83,23 @@ class CachedEncoder:
 
     def _learn(self, pieces: set[str]) -> None:
         new, old = self.new, self.old
-        words, tails, plain = {}, [], []
+        words, tails, plain, tokenize = {}, [], [], self.tok.model.tokenize
         for p in pieces:
             kept = old.get(p)
             if kept is not None:
                 new[p] = kept
                 continue
             stem, tail = (p[:-1], p[-1]) if p[-1] in ".," else (p, "")
-            if stem.isalpha():
-                if stem.isascii():
-                    stem = stem.lower()
-                known = new.get(stem)
-                if known is None:
-                    words[stem] = b""
-                tails.append((p, stem, tail))
-            else:
+            if not stem.isalpha():
                 plain.append(p)
+                continue
+            if stem.isascii():  # lower-cased, such a word is what the model itself gets
+                stem = stem.lower()
+                if stem not in new:
+                    new[stem] = old.get(stem) or np.array([t.id for t in tokenize(stem)], self.dtype).tobytes()
+            elif stem not in new:
+                words[stem] = b""
+            tails.append((p, stem, tail))
         if words:
             words.update(zip(words, self._encode_words(list(words)), strict=True))
             new.update(words)
