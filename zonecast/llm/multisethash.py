@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,11 +137,14 @@ def in_descending_order(docs: DataFrame, buckets: int | None = None) -> DataFram
     edges = [[]]
     if n > 1:
         edges = rows.select("doc_id").where("doc_id is not null").agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n)).collect()[0]
-    cuts = sorted(set(edges[0] or []))
-    # bucket k holds the ids above k cuts; null ids go to bucket -1, the last in descending order
-    cut = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_above(cut, len(cuts)))
-    placed = rows.withColumn("bucket", bucket)
+    cuts = sorted({float(c) for c in edges[0] or []})
+    placed = rows.withColumn("_id", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)))
+    if cuts:
+        placed = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_id", outputCol="_at").transform(placed)
+    else:
+        placed = placed.withColumn("_at", F.lit(0.0))
+    # null ids go to bucket -1, the last in descending order
+    placed = placed.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("_at").cast("int")).alias("bucket"))
     tops = placed.groupBy("bucket").agg(F.max("doc_id").alias("top")).collect()  # a row a bucket
     if not tops:
         return placed.select("bucket", F.lit(False).alias("tail"), "doc_id", "text")
@@ -154,17 +158,6 @@ def in_descending_order(docs: DataFrame, buckets: int | None = None) -> DataFram
     return every.repartition(parts, "bucket").sortWithinPartitions("bucket", "tail", F.desc_nulls_last("doc_id"), "text")
 
 
-def _above(cut, n: int):
-    """How many of the ascending ``cut`` values lie below the id: halving, so log2(n) steps a row."""
-    low = F.lit(0)
-    step = 1 << max(0, n.bit_length() - 1) if n else 0
-    while step:
-        there = low + F.lit(step)
-        low = F.when((there <= n) & (F.get(cut, there - 1) < F.col("doc_id")), there).otherwise(low)
-        step >>= 1
-    return low
-
-
 def edited(text: str, following: str) -> str:
     """``text`` with its last floor(n/2) code points replaced by as many first ones (or all) of ``following``."""
     half = len(text) // 2
