@@ -98,3 +98,15 @@ def test_language_learns_and_covers_edge_rows(spark):
     assert {r.lang_pred for r in langid.language_report(docs.limit(0)).collect()} == set()
     nolang = docs.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r.lang_pred for r in langid.language_report(nolang).collect()} == {"und"}
+
+
+def test_queries_reach_their_held_out_accuracy(spark):
+    from zonecast.llm import registry
+
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    q = [(r.predicted, r.quality) for r in registry.op6_quality(spark, folder).where("held_out").join(labels, "doc_id").collect()]
+    assert len(q) > 50 and np.mean([a == b for a, b in q]) >= 0.95
+    lang = [(r.lang_pred, r.lang) for r in registry.op8_language(spark, folder).where("held_out and lang_pred <> 'und'").join(docs, "doc_id").collect()]
+    assert len(lang) > 150 and np.mean([a == b for a, b in lang]) >= 0.95

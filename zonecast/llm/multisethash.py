@@ -8,8 +8,9 @@ two parts:
 
 * ``EXACT`` lanes of 64 uniform bits each, summed modulo 2**64: equality.  Equal
   multisets give equal sums; different ones differ but for about one pair in 2**512.
-* ``LIKE`` lanes, summed modulo 2**32: every sentence of the paragraph adds +w or -w
-  to each, signs by its hash, w the rounded square root of its bytes.  The cosine of
+* ``LIKE`` lanes, summed modulo 2**32: every run of up to ``RUN`` words of the
+  paragraph's sentences adds +w or -w to each, signs by its hash, w the rounded square
+  root of its bytes.  The cosine of
   two such sums estimates the share of text in common (standard error about
   1 / sqrt(LIKE)); negative estimates count as 0.
 
@@ -39,12 +40,20 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
-EXACT, LIKE = 8, 128
-SENTENCE = re.compile(r"(?<=\.) ")
+EXACT, LIKE, RUN = 8, 128, 5
+SENTENCE = re.compile(r"(?<=[.!?]) ")
 
 
 def _sentences(paragraph: str) -> list[bytes]:
-    return [s.encode("utf-8", "replace") for s in SENTENCE.split(paragraph)]
+    """The paragraph's sentences, longer ones in runs of ``RUN`` words."""
+    out = []
+    for s in SENTENCE.split(paragraph):
+        if s.count(" ") < RUN:
+            out.append(s.encode("utf-8", "replace"))
+        else:
+            w = s.split(" ")
+            out += [" ".join(w[i : i + RUN]).encode("utf-8", "replace") for i in range(0, len(w), RUN)]
+    return out
 
 
 class Hasher:

@@ -230,7 +230,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     found = components(links)
 
     # members of one hub's lists that are still apart
-    apart = seen.where(f"not ({_similar(percent)})").select("y").distinct()
+    apart = settled(seen.where(f"not ({_similar(percent)})").select("y").distinct(), "apart")  # its size decides on a broadcast
     members = seen.join(apart, "y").withColumn("j", F.expr(_similar(percent)))
     grown = members.select("y", "x", F.explode("added").alias("value"))
     also = grown.groupBy("y", "value").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
