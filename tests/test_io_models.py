@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonecast import schema as S
-from zonecast.operators import evaluation, features, models, split
+from zonecast.operators import evaluation, features, models, prep, split
 from zonecast.plans import catalog as C
 from zonecast.plans.dataset import build_processed, prepare_dataset
 from zonecast.plans.slices import dashboard_panels, what_if
@@ -66,6 +66,8 @@ def test_raw_write_skip_and_processed_build(spark, scratch):
     assert pitch_io.save_raw(raw, p) is True
     assert pitch_io.save_raw(raw.limit(1), p) is False          # exists, not overwritten
     assert spark.read.parquet(p).count() == 6000
+    plan = build_processed(pitch_io.load_pitches(spark, p, where=prep.speed_condition()))._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(release_speed" in plan.split("PushedFilters")[1]
     out = prepare_dataset(spark, p, os.path.join(scratch, "processed"), partition_by=["stand"])
     assert out.count() == 1465 + 2629
 

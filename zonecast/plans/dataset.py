@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecast.operators.prep import basic_cleaning, label_outcomes
+from zonecast.operators.prep import basic_cleaning, label_outcomes, speed_condition
 from zonecast.sources.pitch_io import load_pitches, save_processed
 
 
@@ -17,5 +17,7 @@ def build_processed(raw: DataFrame) -> DataFrame:
 
 def prepare_dataset(spark: SparkSession, raw_path: str, output_path: str,
                     partition_by: Sequence[str] = ()) -> DataFrame:
-    save_processed(build_processed(load_pitches(spark, raw_path)), output_path, partition_by)
+    # the speed bounds drop NaN themselves, so they may run below its rewrite and reach the scan
+    raw = load_pitches(spark, raw_path, where=speed_condition())
+    save_processed(build_processed(raw), output_path, partition_by)
     return spark.read.parquet(output_path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,11 +71,13 @@ def typed(df: DataFrame, schema: T.StructType = CSV_SCHEMA, malformed: str = "fa
 
 def load_pitches(spark: SparkSession, path: str, fmt: str | None = None,
                  schema: T.StructType | None = None, required: Sequence[str] = S.REQUIRED_COLUMNS,
-                 malformed: str = "fail") -> DataFrame:
+                 malformed: str = "fail", where: Column | None = None) -> DataFrame:
     """Read a raw or processed pitch table (CSV with header, or parquet).
 
     Missing path -> FileNotFoundError; missing required columns -> ValueError
     listing missing and available columns.  CSV values are typed by ``typed``.
+    ``where`` is applied to the rows as stored, below the rewrite of NaN, so that a
+    parquet scan can push it down.
     """
     if not _exists(spark, path):
         raise FileNotFoundError(f"no pitch table at {path}")
@@ -86,6 +88,8 @@ def load_pitches(spark: SparkSession, path: str, fmt: str | None = None,
     else:
         df = spark.read.parquet(path)
     S.require_columns(df, required, "pitch table")
+    if where is not None:
+        df = df.filter(where)
     return _normalise_nan(spread(df))
 
 
