@@ -211,12 +211,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     reps = settled(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("r")).select("set_key", F.col("r.doc_id").alias("rep"), F.col("r.n").alias("n"), F.col("r.sketch").alias("sketch")), "reps")
 
     held = reps.select("rep", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
-    shared = held.groupBy("value").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
+    # written, so that the join below has a plain shuffle on both sides and a hot value can be split
+    shared = settled(held.groupBy("value").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"), "shared")
     common = held.join(shared, "value").groupBy("rep", "size").agg(F.sort_array(F.collect_list(F.struct("cnt", "value"))).alias("by"))
     slots = _prefix(F.col("size"), percent) - (F.col("size") - F.size("by"))  # hashes that nobody else has come first
     listed = common.where(slots > 0).select("rep", (F.size("by") / F.col("size")).alias("central"), F.explode(F.slice("by", F.lit(1), slots.cast("int"))).alias("e")).select("rep", "central", F.col("e.value").alias("value"))
     listed = settled(listed, "lists")
     hubs = listed.groupBy("value").agg(F.max(F.struct("central", (-F.col("rep")).alias("low"))).alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1").select("value", (-F.col("hub.low")).alias("y"))
+    hubs = settled(hubs, "hubs")
     stars = listed.join(hubs, "value").where("rep <> y").select(F.col("rep").alias("x"), "y").distinct()
     stars = settled(stars, "stars")
 
