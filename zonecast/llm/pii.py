@@ -14,8 +14,8 @@ Spark counts candidates by kind and vote pattern (at most 3**6 a kind);
 expectation-maximisation over these counts estimates how often each labeler is
 right on either class, and so a posterior per pattern.  A logistic regression
 over hashed features of the span (its shape, neighbouring words, votes) is then
-trained on at most ``max_spans`` candidates (those with the smallest hash)
-towards the posteriors, and decides on every candidate.
+trained on about ``max_spans`` candidates (drawn by a hash, with the share that
+their number calls for) towards the posteriors, and decides on every candidate.
 
 Spans by the four base rules (email, ip, card, phone) always stay; the method
 adds spans that the classifier accepts and that overlap no base span.
@@ -280,7 +280,9 @@ def learn(found: DataFrame, max_spans: int = 20_000) -> tuple[np.ndarray | None,
         mine = sorted((r for r in counted if r.kind == kind), key=lambda r: r.vote)
         post, _, _ = fit_votes(np.array([_unpacked(r.vote) for r in mine]), np.array([r.n for r in mine], np.float64))
         posterior |= {(kind, r.vote): float(p) for r, p in zip(mine, post, strict=True)}
-    sample = each.orderBy(F.xxhash64("doc_id", "start", "kind"), "doc_id", "start", "kind", "vote").limit(max_spans).select("kind", "vote", "features").collect()
+    share = min(1.0, max_spans / sum(r.n for r in counted))
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "start", "kind"), 11).cast("double") / float(1 << 53)
+    sample = sorted(each.where(draw < share).select("kind", "vote", "features").collect(), key=lambda r: (r.kind, r.vote, r.features))
     weights = fit_spans([r.features for r in sample], np.array([posterior[r.kind, r.vote] for r in sample]))
     return weights, posterior
 
