@@ -117,16 +117,17 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     return out
 
 
-def _parts(texts: list[str | None], most: int = 1 << 21) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of texts of about ``most`` bytes in all."""
+def _parts(column: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of a batch's texts of about ``most`` bytes in all, with the place of the first."""
     low, held, size = 0, [], 0
-    for i, t in enumerate(texts):
-        raw = (t or "").encode("utf-8", "replace")
-        if held and size + len(raw) > most:
-            yield low, held
-            low, held, size = i, [], 0
-        held.append(raw)
-        size += len(raw)
+    for at in range(0, len(column), 256):
+        for i, t in enumerate(column.slice(at, 256).to_pylist(), at):
+            raw = (t or "").encode("utf-8", "replace")
+            if held and size + len(raw) > most:
+                yield low, held
+                low, held, size = i, [], 0
+            held.append(raw)
+            size += len(raw)
     if held:
         yield low, held
 
@@ -137,7 +138,7 @@ def sketches(docs: DataFrame, words: int, k: int = K) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0)
-            for low, raws in _parts(b.column(1).to_pylist()):
+            for low, raws in _parts(b.column(1)):
                 sets = shingle_sets(raws, words)
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 least = [s[:k] for s in sets]
@@ -154,7 +155,7 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for low, raws in _parts(b.column(1).to_pylist()):
+            for low, raws in _parts(b.column(1)):
                 sets = shingle_sets(raws, words)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(low, len(raws)), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "hashes"])
 
