@@ -78,3 +78,42 @@ def test_query_equals_plain_form(spark):
     source = {r.page_id: r.html for r in pages.collect()}
     for r in s.main_texts(pages).collect():
         assert r.text == plain(source[r.page_id])
+
+
+def texts_of(spark, sources, host="h.example"):
+    pages = spark.createDataFrame([(i, f"http://{host}/{i}", src) for i, src in enumerate(sources)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in s.main_texts(pages).collect()}
+
+
+def test_words_never_remove_the_article():
+    for wrapped in ('<form id="aspnetForm"><nav>menu</nav><article><p>Story</p></article><footer>end</footer></form>', "<nav>menu</nav><main class='has-sidebar'><p>Story</p></main>", "<div class='no-sidebar'><div class=banner><main><p>Story</p></main></div><div class=ad>buy</div></div>"):
+        assert text_of(f"<body>{wrapped}</body>") == "Story"
+    assert text_of("<body><form><p>All of the page's text is here</p></form><nav>menu</nav></body>") == "All of the page's text is here"
+    assert text_of("<body><div hidden><article>never shown</article></div><p>Seen</p></body>") == "Seen"
+
+
+def test_importance_removes_unclassed_boilerplate(spark):
+    note = "This same line of terms closes every article."
+    got = texts_of(spark, [f"<article><h1>Head {i}</h1><p>Story {i} tells of {i * 7}, and of much more than that, as stories do</p><div class=xk>{note}</div></article>" for i in range(40)])
+    assert got[3] == "Head 3\nStory 3 tells of 21, and of much more than that, as stories do"
+    # most of the page's text, without article
+    got = texts_of(spark, [f"<body><div class=xa>{note} {note}</div><div class=xb><p>Story {i}</p></div></body>" for i in range(40)])
+    assert got[3] == "Story 3"
+    # copies can't be told from boilerplate where they are all there is
+    assert set(texts_of(spark, ["<body><div class=xa><p>One text, printed often.</p></div><footer>f</footer></body>"] * 40).values()) == {"One text, printed often."}
+
+
+def test_importance_outvotes_words_where_no_article_tells(spark):
+    same = "The same words stand here on each of the pages, at some length."
+    got = texts_of(spark, [f"<body><div class=xa>{same}</div><div class=widget><p>Story {i}</p></div><div class=share>tell others</div></body>" for i in range(40)])
+    assert got[3] == "Story 3"
+    got = texts_of(spark, [f"<article><p>Story {i}, which is rather longer than all the rest</p><div class=promotion>Part {i} of it</div><div class=share>tell others</div></article><footer>of {i}</footer>" for i in range(40)])
+    assert got[3] == "Story 3, which is rather longer than all the rest\nPart 3 of it"
+
+
+def test_copies_do_not_lower_importance(spark):
+    many = "<article><h1>T</h1><p>One text, printed often, with a head and a foot.</p><div class=xk>Its own foot</div></article>"
+    others = [f"<article><h1>T{i}</h1><p>Story {i} which is long enough for an article</p><div class=xk>Foot {i}</div></article>" for i in range(12)]
+    got = texts_of(spark, [many] * 200 + others)
+    assert got[0] == "T\nOne text, printed often, with a head and a foot.\nIts own foot"
+    assert got[205] == "T5\nStory 5 which is long enough for an article\nFoot 5"

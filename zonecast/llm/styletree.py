@@ -7,15 +7,26 @@ host: its *presentation* (the sequence of its children's tags, repeats as one)
 and its *content* (its block texts).  With m occurrences and entropy H, the
 importance is H / log m: 0 where every page shows the same, 1 where each shows
 something of its own.  Nodes with fewer than ``EVIDENCE`` occurrences on their
-host take their place's importance over all hosts.
+host take their place's importance over all hosts.  Inside an ``article`` or
+``main`` element, pages whose text in such elements is the same count once, so
+many copies of one article on a host don't make it boilerplate.
 
 On a page a branch's importance is the text-weighted mean of its blocks' content
-importance, with ``STYLE`` parts of its presentation importance, times a weight
-for what its tag and class words say (``BOILERPLATE``: menus, headers, footers,
-side bars, notices, adverts, forms, reader comments).  Branches below ``LEAST``
-are removed, from the top down.  What lies in an ``article`` or ``main`` element,
-and a branch with most of the page's text, falls only by such a weight: many
-copies of one article on a host don't make it boilerplate.
+importance, with ``STYLE`` parts of its presentation importance.  Branches below
+``LEAST`` are removed, from the top down; an unknown place counts as important.
+Beside that:
+
+* Tag and class words (menus, headers, footers, side bars, notices, adverts,
+  forms, reader comments) are a prior of ``BOILERPLATE`` that a branch is main
+  text; its importance changes the odds, and an unknown one leaves them.  Outside
+  the ``article`` or ``main`` of a page that has one the words alone decide:
+  footers and adverts there may well differ from page to page.
+* Words never remove a branch that holds an outermost ``article`` or ``main``, nor,
+  on a page without one, a branch with most of the page's text.
+* Importance never removes an outermost ``article`` or ``main`` or what holds it, nor
+  the place with most of the text in it.  Elsewhere a branch with most of the
+  page's text goes only if nothing in it is important.  If importance would leave
+  nothing of a page, it removes nothing in ``article`` or ``main`` and no such branch.
 
 Scripts, styles, markup and what is never shown are dropped; character
 references decoded; white space in a block becomes one space; blocks are joined
@@ -35,6 +46,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -70,12 +82,13 @@ def _hash(*parts: str) -> int:
 
 
 class Page:
-    """Nodes of a page in order of their start; node 0 is the body.  ``blocks``: (node, text) in page order."""
+    """Nodes of a page in order of their start; node 0 is the body.  ``weight`` is 0 where nothing is shown, ``main``
+    tells outermost article and main elements.  ``blocks``: (node, text) in page order."""
 
-    __slots__ = ("key", "parent", "children", "weight", "inside", "blocks")
+    __slots__ = ("key", "parent", "children", "weight", "inside", "main", "blocks")
 
     def __init__(self, html: str):
-        self.key, self.parent, self.children, self.weight, self.inside = [_hash("body")], [-1], [[]], [1.0], [False]
+        self.key, self.parent, self.children, self.weight, self.inside, self.main = [_hash("body")], [-1], [[]], [1.0], [False], [False]
         self.blocks: list[tuple[int, str]] = []
         self._read(html)
 
@@ -90,13 +103,16 @@ class Page:
                 else:
                     names += (m[2] or m[3] or m[4] or "").lower().split()
         words = sorted({w for n in names for w in WORD.findall(n)})
-        boiler = hidden or tag in BOILER_TAGS or any(p in BOILER_WORDS for w in words for p in (w, *w.split("-")))
+        hidden = hidden or not self.weight[parent]
+        boiler = tag in BOILER_TAGS or any(p in BOILER_WORDS for w in words for p in (w, *w.split("-")))
         self.key.append(_hash(str(self.key[parent]), tag, *words))
         self.parent.append(parent)
         self.children.append([])
         self.children[parent].append(tag)
-        self.weight.append(BOILERPLATE if boiler else 1.0)
-        self.inside.append(tag in ("article", "main") or self.inside[parent])
+        self.weight.append(0.0 if hidden else BOILERPLATE if boiler else 1.0)
+        main = tag in ("article", "main")
+        self.inside.append(main or self.inside[parent])
+        self.main.append(main and not hidden and not self.inside[parent])
         return len(self.key) - 1
 
     def _read(self, html: str) -> None:
@@ -202,25 +218,58 @@ class Page:
         return _hash(*seq)
 
 
-def kept_blocks(page: Page, importance: dict[tuple[int, bool], float]) -> list[str]:
-    """Blocks of the branches that stay; ``importance`` of (node key, is content)."""
+def kept_blocks(page: Page, importance: dict[tuple[int, bool], tuple[float, bool]]) -> list[str]:
+    """Blocks of the branches that stay; ``importance`` of (node key, is content), and if it rests on ``EVIDENCE``."""
     n = len(page.key)
-    size, good = [0.0] * n, [0.0] * n
+    unknown = (1.0, False)
+    # ``good``: an unknown place is important; ``odds``: it says nothing
+    size, good, odds, best = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
     for node, text in page.blocks:
+        value, sure = importance.get((page.key[node], True), unknown)
         size[node] += len(text)
-        good[node] += len(text) * importance.get((page.key[node], True), 1.0)
+        good[node] += len(text) * value
+        odds[node] += len(text) * (value if sure else min(value, 0.5))
+        best[node] = value
     for node in range(n - 1, 0, -1):  # children come after their parents
-        size[page.parent[node]] += size[node]
-        good[page.parent[node]] += good[node]
-    gone = [False] * n
-    for node in range(1, n):
-        if gone[page.parent[node]]:
-            gone[node] = True
-        elif size[node]:
-            value = (1 - STYLE) * good[node] / size[node] + STYLE * importance.get((page.key[node], False), 1.0)
-            safe = page.inside[node] or 2 * size[node] > size[0]
-            gone[node] = page.weight[node] * (1.0 if safe else value) < LEAST
-    return [text for node, text in page.blocks if not gone[node]]
+        above = page.parent[node]
+        size[above] += size[node]
+        good[above] += good[node]
+        odds[above] += odds[node]
+        best[above] = max(best[above], best[node])
+    holds = [m and s > 0 for m, s in zip(page.main, size, strict=True)]
+    main = sum(s for h, s in zip(holds, size, strict=True) if h)
+    place: dict[int, float] = {}
+    for node in range(n - 1, 0, -1):
+        holds[page.parent[node]] |= holds[node]
+        place[page.key[node]] = place.get(page.key[node], 0.0) + size[node]
+
+    def goes(node: int, careful: bool) -> bool:
+        weight, most = page.weight[node], 2 * size[node] > size[0]
+        if not weight:
+            return True
+        if holds[node]:
+            return False
+        style, sure = importance.get((page.key[node], False), unknown)
+        if weight < 1 and (main or not most):
+            if main and not page.inside[node]:
+                return True
+            v = (1 - STYLE) * odds[node] / size[node] + STYLE * (style if sure else min(style, 0.5))
+            return weight * v < LEAST * (weight * v + (1 - weight) * (1 - v))
+        if page.inside[node]:
+            if careful or 2 * place[page.key[node]] > main:
+                return False
+        elif most:
+            return not careful and best[node] < LEAST
+        return (1 - STYLE) * good[node] / size[node] + STYLE * style < LEAST
+
+    for careful in (False, True):
+        gone = [False] * n
+        for node in range(1, n):
+            gone[node] = gone[page.parent[node]] or (size[node] > 0 and goes(node, careful))
+        kept = [text for node, text in page.blocks if not gone[node]]
+        if kept:
+            break
+    return kept
 
 
 def host_of():
@@ -232,38 +281,46 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def style_trees(pages: DataFrame) -> DataFrame:
-    """host, key, content (else presentation), m, importance: the merged nodes of every host."""
+    """host, key, content (else presentation), m, importance, sure (it rests on ``EVIDENCE``): the merged nodes of every host."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for low in range(0, b.num_rows, 200):
-                host, key, content, feature = [], [], [], []
+                host, key, content, feature, copy, times = [], [], [], [], [], []
                 part = b.slice(low, 200)
                 for h, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     page = Page(source)
-                    own = [(page.key[n], False, page.style(n)) for n in range(1, len(page.key))] + [(page.key[n], True, _hash(t)) for n, t in page.blocks]
-                    for k, c, f in own:
+                    text = _hash(*[t for n, t in page.blocks if page.inside[n]])
+                    own = Counter((page.key[n], False, page.style(n), text if page.inside[n] else None) for n in range(1, len(page.key)))
+                    own.update((page.key[n], True, _hash(t), text if page.inside[n] else None) for n, t in page.blocks)
+                    for (k, c, f, t), often in own.items():
                         host.append(h)
                         key.append(k)
                         content.append(c)
                         feature.append(f)
-                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(key, pa.int64()), pa.array(content, pa.bool_()), pa.array(feature, pa.int64())], names=["host", "key", "content", "feature"])
-
-    seen = _pages(pages).select("host", "html").mapInArrow(run, "host string, key long, content boolean, feature long")
-    counts = settled(seen.groupBy("host", "key", "content", "feature").agg(F.count(F.lit(1)).alias("c")), "style-counts")
+                        copy.append(t)
+                        times.append(often)
+                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(key, pa.int64()), pa.array(content, pa.bool_()), pa.array(feature, pa.int64()), pa.array(copy, pa.int64()), pa.array(times, pa.int64())], names=["host", "key", "content", "feature", "copy", "times"])
+
+    seen = _pages(pages).select("host", "html").mapInArrow(run, "host string, key long, content boolean, feature long, copy long, times long")
+    # inside an article or main, copies of its text count once
+    once = F.when(F.col("copy").isNull(), F.sum("times")).otherwise(F.max("times"))
+    counts = settled(seen.groupBy("host", "key", "content", "feature", "copy").agg(once.alias("times")), "style-counts")
     measure = [F.sum("c").alias("m"), F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias("clog")]
     value = F.when(F.col("m") > 1, F.greatest(F.lit(0.0), 1 - F.col("clog") / (F.col("m") * F.log(F.col("m").cast("double"))))).otherwise(1.0)
-    own = counts.groupBy("host", "key", "content").agg(*measure).withColumn("own", value)
-    every = counts.groupBy("key", "content", "feature").agg(F.sum("c").alias("c")).groupBy("key", "content").agg(*measure).select("key", "content", value.alias("everywhere"))
+    here = counts.groupBy("host", "key", "content", "feature").agg(F.sum("times").alias("c"))
+    own = here.groupBy("host", "key", "content").agg(*measure).withColumn("own", value)
+    every = counts.groupBy("key", "content", "feature", "copy").agg(once.alias("times")).groupBy("key", "content", "feature").agg(F.sum("times").alias("c"))
+    every = every.groupBy("key", "content").agg(*measure).select("key", "content", F.col("m").alias("m_everywhere"), value.alias("everywhere"))
     both = own.join(every, ["key", "content"])
-    return both.select("host", "key", "content", "m", F.when(F.col("m") >= EVIDENCE, F.col("own")).otherwise(F.col("everywhere")).alias("importance"))
+    return both.select("host", "key", "content", "m", F.when(F.col("m") >= EVIDENCE, F.col("own")).otherwise(F.col("everywhere")).alias("importance"), (F.greatest("m", "m_everywhere") >= EVIDENCE).alias("sure"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars."""
-    # places that are important everywhere need no entry: that is what an unknown place counts as
-    trees = style_trees(pages).where("importance < 0.999")
-    table = settled(trees.groupBy("host").agg(F.collect_list(F.struct("key", "content", "importance")).alias("tree")), "style-trees")
+    # important places without evidence need no entry: that is what an unknown place counts as
+    trees = style_trees(pages).where("sure or importance < 0.999")
+    table = settled(trees.groupBy("host").agg(F.collect_list(F.struct("key", "content", "importance", "sure")).alias("tree")), "style-trees")
     rows = _pages(pages).join(table, "host", "left").select("page_id", "url", "html", "host", "tree")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +333,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
                     if host not in known:
                         if len(known) > 1000:
                             known.clear()
-                        known[host] = {(e["key"], e["content"]): e["importance"] for e in tree.as_py() or ()}
+                        known[host] = {(e["key"], e["content"]): (e["importance"], e["sure"]) for e in tree.as_py() or ()}
                     texts.append("\n".join(kept_blocks(Page(source), known[host])))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
