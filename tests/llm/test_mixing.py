@@ -94,3 +94,25 @@ def test_empty_and_tokenless_tables(spark):
 def test_tokens_count_words(spark):
     docs = spark.createDataFrame([(1, " a\tb\n c  ", "x", "y"), (2, "", "x", "y"), (3, None, "x", "y"), (4, "é ñ", "x", "y")], "doc_id long, text string, lang string, source string")
     assert {r.doc_id: r.tokens for r in mixing.described(docs).collect()} == {1: 3, 2: 0, 3: 0, 4: 2}
+
+
+def test_languages_without_a_target_are_sampled(spark):
+    docs = corpus(spark).where("doc_id < 4000").selectExpr("doc_id", "text", "case when doc_id % 20 = 0 then null when doc_id % 20 = 1 then 'xx' when doc_id % 20 = 2 then 'EN' else lang end as lang", "source", "chance")
+    got = mixing.mix(docs, fraction=0.4).collect()
+    total, of = 0.0, {}
+    for r in got:
+        assert r.weight > 0 and r.chance > 0
+        total += r.tokens * r.weight
+        of[r.lang] = of.get(r.lang, 0.0) + r.tokens * r.weight
+    # the table has no Spanish, whose share falls to the others in proportion
+    assert sum(of[v] for v in (None, "xx", "EN")) / total == pytest.approx(mixing.UNTARGETED / (1 - mixing.LANG_SHARES["es"]), rel=1e-3)
+    picked = {r.lang for r in got if r.selected}
+    assert {None, "xx", "EN"} <= picked
+    assert {r.doc_id for r in mixing.sample(docs, fraction=0.4).collect()} == {r.doc_id for r in got if r.selected}
+
+
+def test_targets_that_leave_nothing_raise(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "s"), (2, "c d e", None, "s"), (3, "f", "xx", "s")], "doc_id long, text string, lang string, source string")
+    with pytest.raises(ValueError, match=r"lang.*None \(1 documents, 3 tokens\), 'xx'"):
+        mixing.mix(docs, {"lang": {"en": 0.7, "de": 0.3}})
+    assert mixing.mix(docs.where("lang = 'en'"), {"lang": {"en": 0.7, "de": 0.3}}).count() == 1

@@ -21,7 +21,9 @@ join on the cell's columns, broadcast only while counted below
 ``BROADCAST_CELLS`` rows.
 
 Targets are shares per value (they need not sum to 1); values without a target
-share what is left in proportion to their tokens.  Without targets for a
+share what is left in proportion to their tokens, and targets that leave nothing
+for values that have tokens are an error (give such a value 0 to leave it out).
+The production languages leave ``UNTARGETED``.  Without targets for a
 margin, its shares are flattened: tokens to the power ``flatten``.
 
 Defined cases: null source, language or topic is a value of its own; null or
@@ -41,7 +43,8 @@ MARGINS = ("source", "lang", "topic")
 BROADCAST_CELLS = 200_000
 
 # fixed values: production targets
-LANG_SHARES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+UNTARGETED = 0.01  # the share of languages without a target of their own, null among them; where there are none, nothing is set aside
+LANG_SHARES = {lang: share * (1 - UNTARGETED) for lang, share in {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}.items()}
 TOPIC_SHARES = {"prose": 0.7, "long prose": 0.2, "table": 0.02, "contact": 0.05, "legal": 0.03}
 
 
@@ -90,6 +93,16 @@ def with_shares(cells: DataFrame, given: dict[str, dict[str, float]], flatten: f
     return out.drop("_t", "_first", "_want", "_w")
 
 
+def check_left(cells: DataFrame, given: dict[str, dict[str, float]]) -> None:
+    """Raises if targets leave no share for values that have tokens."""
+    for c in MARGINS:
+        if given.get(c) and 1.0 - sum(given[c].values()) < 1e-9:
+            lost = cells.where(F.col(c).isNull() | ~F.col(c).isin(*given[c])).where("tokens > 0")
+            some = lost.groupBy(c).agg(F.sum("n_docs").alias("n_docs"), F.sum("tokens").alias("tokens")).orderBy(F.desc("tokens"), c).limit(10).collect()
+            if some:
+                raise ValueError(f"targets for {c} sum to 1 or more and leave nothing for other values (most tokens first): " + ", ".join(f"{r[c]!r} ({r.n_docs} documents, {r.tokens} tokens)" for r in some))
+
+
 def rake(cells: DataFrame, tolerance: float = 1e-6, most: int = 40, rounds_at_once: int = 5) -> DataFrame:
     """Cells with shares in, with ``raked`` out: their tokens scaled to the margins (shares of 1)."""
     now, done = cells.withColumn("raked", F.col("tokens").cast("double")), 0
@@ -138,6 +151,7 @@ def plan(rows: DataFrame, targets: dict[str, dict[str, float]] | None = None, fr
     """The cell table with ``raked``, ``weight`` and ``chance``, from described rows."""
     given = targets if targets is not None else {"lang": LANG_SHARES, "topic": TOPIC_SHARES}
     cells = settled(cells_of(rows), "cells")
+    check_left(cells, given)
     return settled(chances(rake(with_shares(cells, given, flatten)), fraction), "chances")
 
 
