@@ -114,3 +114,14 @@ def test_query_equals_brute_force(spark, folder):
     docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet").select("doc_id", "text")
     got = sorted(tuple(r) for r in neardup.near_duplicate_report(docs, 4).collect())
     assert got == brute([tuple(r) for r in docs.collect()], 4)
+
+
+def test_estimate_drops_only_what_is_clearly_below(spark):
+    def sketch(shared, own):  # the union's 32 smallest: the shared hashes and half of the own ones of each
+        return sorted([*range(1, shared + 1), *own])
+
+    for shared, stays in ((10, False), (11, True), (14, True)):
+        rest = 32 - shared
+        x, y = [100 + 2 * i for i in range(rest)], [101 + 2 * i for i in range(rest)]
+        reps = spark.createDataFrame([(1, sketch(shared, x)), (2, sketch(shared, y))], "rep long, sketch array<bigint>")
+        assert neardup._estimated(spark.createDataFrame([(1, 2)], "x long, y long"), reps, 80).count() == stays
