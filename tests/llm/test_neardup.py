@@ -125,3 +125,16 @@ def test_estimate_drops_only_what_is_clearly_below(spark):
         x, y = [100 + 2 * i for i in range(rest)], [101 + 2 * i for i in range(rest)]
         reps = spark.createDataFrame([(1, sketch(shared, x)), (2, sketch(shared, y))], "rep long, sketch array<bigint>")
         assert neardup._estimated(spark.createDataFrame([(1, 2)], "x long, y long"), reps, 80).count() == stays
+
+
+def test_each_text_of_a_repeated_id_is_linked(spark):
+    rng = random.Random(11)
+    for sizes in ((60, 200), (150, 150)):
+        texts = [[f"{name}{i}" for i in range(n)] for name, n in zip("st", sizes, strict=True)]
+        near = [[*t[:-3], "its", "own", f"end{len(t)}"] for t in texts]
+        rows = [(5, " ".join(t)) for t in texts] + [(20 + i, " ".join(t)) for i, t in enumerate(near)]
+        rows += [(40 + i, " ".join(perturbed(rng, texts[1], 0.9))) for i in range(4)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = sorted((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicate_report(docs, 4).collect())
+        assert got == [(5, 5, True), (5, 5, True), (20, 5, False), (21, 5, False), *((40 + i, 40 + i, True) for i in range(4))]
+        assert not {20, 21} & {r.doc_id for r in neardup.keep_one(docs, 4).collect()}

@@ -27,7 +27,7 @@ from the verified links.
 Defined cases: null or blank text has an empty set, no links and is its own
 component; fewer words than a shingle: the whole sequence is the one shingle;
 rows without id take no part (component null, kept); rows with equal ids are
-linked each by its own text; other columns are ignored.
+linked each by its own text (the id only names components); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -153,15 +153,15 @@ def sketches(docs: DataFrame, words: int, k: int = K) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, hashes (the whole set, ascending unsigned 64-bit little-endian)."""
+    """doc_id, n, hashes (the whole set, ascending unsigned 64-bit little-endian), set_key (as in ``sketches``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for low, raws in _parts(b.column(1)):
                 sets = shingle_sets(raws, words)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(low, len(raws)), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "hashes"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(low, len(raws)), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary())], names=["doc_id", "n", "hashes", "set_key"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, n long, hashes binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, n long, hashes binary, set_key binary")
 
 
 def _prefix(size: Column, percent: int) -> Column:
@@ -212,6 +212,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rows = settled(sketches(docs, words), "sketches")
     some = rows.where("doc_id is not null and n > 0")
     reps = settled(some.groupBy("set_key").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("r")).select("set_key", F.col("r.doc_id").alias("rep"), F.col("r.n").alias("n"), F.col("r.sketch").alias("sketch")), "reps")
+    # a class is known by its smallest id, unless an id has several texts; ``label`` is that id
+    repeat = _ids_repeat(rows)
+    reps = settled(reps.withColumnRenamed("rep", "label").withColumn("rep", F.monotonically_increasing_id()), "reps") if repeat else reps.withColumn("label", F.col("rep"))
+    labels = reps.select("rep", "label")
+
+    def named(pairs: DataFrame) -> DataFrame:
+        """The links (a, b) between classes as links between ids."""
+        if not repeat:
+            return pairs
+        one = pairs.join(labels.select(F.col("rep").alias("a"), F.col("label").alias("_a")), "a").join(labels.select(F.col("rep").alias("b"), F.col("label").alias("_b")), "b")
+        return one.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
 
     held = reps.select("rep", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     # written, so that the join below has a plain shuffle on both sides and a hot value can be split
@@ -226,21 +237,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     stars = settled(stars, "stars")
 
     wanted = stars.select(F.col("x").alias("doc_id")).union(stars.select(F.col("y").alias("doc_id"))).distinct()
-    keyed = reps.select(F.col("rep").alias("doc_id"), F.col("n").alias("rep_n")).join(wanted, "doc_id")
-    full = full_sets(docs.select("doc_id", "text").join(keyed.select("doc_id"), "doc_id", "left_semi"), words)
-    sets = settled(full.groupBy("doc_id").agg(F.min(F.struct("n", "hashes")).alias("s")).select("doc_id", "s.*") if _ids_repeat(rows) else full, "sets")
+    keyed = reps.select("rep", "label", "set_key").join(wanted, F.col("rep") == F.col("doc_id")).drop("doc_id")
+    full = full_sets(docs.select("doc_id", "text").join(keyed.select(F.col("label").alias("doc_id")), "doc_id", "left_semi"), words)
+    if repeat:
+        full = full.join(keyed.select("rep", "set_key"), "set_key").groupBy(F.col("rep").alias("doc_id")).agg(F.min(F.struct("n", "hashes")).alias("s")).select("doc_id", "s.*")
+    sets = settled(full.select("doc_id", "n", "hashes"), "sets")
 
     seen = settled(_compared(stars, sets, added=True), "stars-compared")
     links = seen.where(_similar(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    found = components(links)
+    found = components(named(links))
 
     # members of one hub's lists that are still apart
     apart = settled(seen.where(f"not ({_similar(percent)})").select("y").distinct(), "apart")  # its size decides on a broadcast
     members = seen.join(apart, "y").withColumn("j", F.expr(_similar(percent)))
     grown = members.select("y", "x", F.explode("added").alias("value"))
     also = grown.groupBy("y", "value").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    placed = found.withColumnRenamed("node", "x")
+    if repeat:
+        placed = labels.join(found, F.col("label") == F.col("node"), "left").select(F.col("rep").alias("x"), F.coalesce("component", "label").alias("component"))
     s = grown.join(also, ["y", "value"]).groupBy("y", "x").agg(F.count(F.lit(1)).alias("s"))
-    side = members.select("x", "y", "nx", "ny", "o", "j").join(s, ["y", "x"], "left").join(found.withColumnRenamed("node", "x"), "x", "left")
+    side = members.select("x", "y", "nx", "ny", "o", "j").join(s, ["y", "x"], "left").join(placed, "x", "left")
     side = settled(side.select("y", "x", "j", F.col("ny").alias("h"), (F.col("ny") - F.col("o")).alias("r"), (F.col("nx") - F.col("o")).alias("a"), F.coalesce("s", F.lit(0)).alias("s"), F.coalesce("component", "x").alias("c")), "members")
     p, q = side.where("not j").alias("p"), side.alias("q")
     best = "least(p.s, q.s)"
@@ -250,9 +266,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rest = _estimated(rest, reps, percent)
     late = settled(_compared(rest, sets, added=False).where(_similar(percent)).select(F.col("x").alias("a"), F.col("y").alias("b")), "late-links")
     if late.limit(1).count():
-        found = components(links.unionByName(late))
+        found = components(named(links.unionByName(late)))
 
-    by_class = reps.select("set_key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
+    by_class = reps.select("set_key", "label").join(found.withColumnRenamed("node", "label"), "label", "left").select("set_key", F.coalesce("component", "label").alias("component"))
     out = rows.select("doc_id", "n", "set_key").join(by_class, "set_key", "left")
     comp = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"), "set_key")
