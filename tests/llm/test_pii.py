@@ -91,3 +91,15 @@ def test_query_equals_brute_force(spark):
     text = {r.doc_id: r.text for r in docs.collect()}
     for r in pii.pii_report(docs).collect():
         assert r.base_sha256 == hashlib.sha256(brute_joined(brute_base(text[r.doc_id])).encode()).hexdigest()
+
+
+def test_rare_patterns_are_learnt(spark):
+    rows = [(i, f"see part no {222 + i % 2}-222-2222 there, or call ({200 + i % 700}) 010-2233" if i % 10 == 0 else "see part no 222-222-2222 there") for i in range(3000)]
+    rows += [(9000 + i, f"her social security ssn {123 + i}-45-67{80 + i} was lost") for i in range(3)]
+    found = pii.candidates(spark.createDataFrame(rows, "doc_id long, text string")).cache()
+    weights, posterior = pii.learn(found, max_spans=100)
+    assert min(p for (kind, _), p in posterior.items() if kind == "ssn") > 0.8 and min(posterior.values()) < 0.2
+    for r in found.where("doc_id >= 9000 or doc_id = 20").collect():
+        for s in r.loose:
+            p = 1 / (1 + np.exp(-weights[[*s.features, pii.FEATURES]].sum()))
+            assert (p >= 0.5) == (posterior[s.kind, s.vote] >= 0.5), (s.kind, p)

@@ -16,6 +16,9 @@ right on either class, and so a posterior per pattern.  A logistic regression
 over hashed features of the span (its shape, neighbouring words, votes) is then
 trained on about ``max_spans`` candidates (drawn by a hash, with the share that
 their number calls for) towards the posteriors, and decides on every candidate.
+Every kind and vote pattern has an equal part of another ``max_spans`` at least:
+rare ones are drawn with a larger share, and where they have fewer spans, these
+count for as many.
 
 Spans by the four base rules (email, ip, card, phone) always stay; the method
 adds spans that the classifier accepts and that overlap no base span.
@@ -217,14 +220,15 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tu
     return post, table, share
 
 
-def fit_spans(rows: list[list[int]], target: np.ndarray, epochs: int = 200, rate: float = 0.5, decay: float = 1e-3) -> np.ndarray:
-    """Logistic regression on hashed features towards soft targets, by full-batch AdaGrad."""
+def fit_spans(rows: list[list[int]], target: np.ndarray, weight: np.ndarray | None = None, epochs: int = 200, rate: float = 0.5, decay: float = 1e-3) -> np.ndarray:
+    """Logistic regression on hashed features towards soft targets, by full-batch AdaGrad.  ``weight``: of each row, 1 if not given."""
+    weight = np.ones(len(rows)) if weight is None else weight
     w, square = np.zeros(FEATURES + 1), np.full(FEATURES + 1, 1e-6)
     flat = np.concatenate([[*r, FEATURES] for r in rows]).astype(np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r) + 1 for r in rows])
     for _ in range(epochs):
         p = 1 / (1 + np.exp(-np.bincount(owner, w[flat], len(rows))))
-        g = np.bincount(flat, (p - target)[owner], FEATURES + 1) / len(rows) + decay * w
+        g = np.bincount(flat, (weight * (p - target))[owner], FEATURES + 1) / weight.sum() + decay * w
         square += g * g
         w -= rate * g / np.sqrt(square)
     return w
@@ -280,10 +284,13 @@ def learn(found: DataFrame, max_spans: int = 20_000) -> tuple[np.ndarray | None,
         mine = sorted((r for r in counted if r.kind == kind), key=lambda r: r.vote)
         post, _, _ = fit_votes(np.array([_unpacked(r.vote) for r in mine]), np.array([r.n for r in mine], np.float64))
         posterior |= {(kind, r.vote): float(p) for r, p in zip(mine, post, strict=True)}
-    share = min(1.0, max_spans / sum(r.n for r in counted))
+    share, least = min(1.0, max_spans / sum(r.n for r in counted)), max(1, max_spans // len(counted))
+    shares = each.sparkSession.createDataFrame([(r.kind, r.vote, min(1.0, max(share, least / r.n))) for r in counted], "kind string, vote int, share double")
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "start", "kind"), 11).cast("double") / float(1 << 53)
-    sample = sorted(each.where(draw < share).select("kind", "vote", "features").collect(), key=lambda r: (r.kind, r.vote, r.features))
-    weights = fit_spans([r.features for r in sample], np.array([posterior[r.kind, r.vote] for r in sample]))
+    drawn = each.join(F.broadcast(shares), ["kind", "vote"]).where(draw < F.col("share"))
+    sample = sorted(drawn.select("kind", "vote", "features").collect(), key=lambda r: (r.kind, r.vote, r.features))
+    few = {(r.kind, r.vote): max(1.0, least / r.n) for r in counted}
+    weights = fit_spans([r.features for r in sample], np.array([posterior[r.kind, r.vote] for r in sample]), np.array([few[r.kind, r.vote] for r in sample]))
     return weights, posterior
 
 
