@@ -74,3 +74,17 @@ def test_query_equals_brute_force(spark):
         want = brute_rules(text[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(brute_spans(want).encode()).hexdigest()
         assert set(brute_spans(want).split(",")) <= set(r.spans.split(","))
+
+
+def test_a_placeholder_does_not_hide_a_secret_beside_it():
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    for before in ("docs/example/", "key=example_", "dummy", "123456789-"):
+        key = some(40)
+        _, more = secrets.scan(f"see {before}{key} here")
+        assert len(more) == 1 and more[0][2] == 4 + len(before) + 40 and abs(more[0][1] - 4 - len(before)) <= 1
+    left, right = some(300), some(300)
+    _, more = secrets.scan(f"{left}xxxx{right}")
+    assert more == [("entropy", 0, 300), ("entropy", 304, 604)]
+    for clean in ("your-own-secret-goes-in-here-please", "some/path/to/example/of-an-identifier/and_words", "example" * 20, "x" * 300):
+        assert secrets.scan(clean) == ([], [])

@@ -9,9 +9,10 @@ window's entropy is kept by incremental counts: with S the sum of c*log2(c) over
 its characters' counts, H = log2(n) - S/n, and a step changes two counts.  Windows
 that reach the class's threshold are merged to one span (``entropy``).
 
-The allow list suppresses such spans: plain words (one letter case, few digits),
-numbers, counting and keyboard runs, and placeholders.  Spans inside a rule's
-span are not repeated.
+The allow list suppresses such spans: plain words (one letter case, few digits)
+and numbers.  Placeholder words, counting and keyboard runs cut a run in pieces:
+no window holds a part of one, and what stands beside them is scanned.  Spans
+inside a rule's span are not repeated.
 
 Defined cases: null and empty texts have no spans; rows with equal ids are
 scanned each; other columns are ignored.  Work is linear in the text.
@@ -48,10 +49,11 @@ ALLOWED = tuple(
         r"^[a-z]+[-_/=+]*$|^[A-Z]+[-_/=+]*$|^[A-Z][a-z]+[-_/=+]*$",  # one word
         r"^[0-9_/=+-]+$",  # a number, a date, a rule
         r"^(?:[A-Za-z]+[-_/=+]+)+[A-Za-z]*$",  # words joined by signs
-        r"(?i)example|placeholder|changeme|your[-_]|xxxx|test[-_]?key|dummy",
-        r"(?i)0123456789|123456789|abcdefgh|qwertyui",
     )
 )
+# fixed values: parts that are not of a secret
+PLACEHOLDER = re.compile(r"(?i)example|placeholder|changeme|your[-_]|xxxx|test[-_]?key|dummy|0123456789|123456789|abcdefgh|qwertyui")
+SIGNS = "-_/=+"
 _CLOG = [0.0, 0.0, *[c * log2(c) for c in range(2, WINDOW + 2)]]
 
 
@@ -73,6 +75,17 @@ def entropies(s: str, window: int = WINDOW) -> Iterator[float]:
             yield top - total / window
 
 
+def pieces(run: str) -> Iterator[tuple[int, str]]:
+    """What a run holds between placeholders, if it takes a window, and where."""
+    low = 0
+    for m in PLACEHOLDER.finditer(run):
+        if m.start() - low >= WINDOW:
+            yield low, run[low : m.start()]
+        low = m.end()
+    if len(run) - low >= WINDOW:
+        yield low, run[low:]
+
+
 def high_entropy(text: str, candidate: re.Pattern = CANDIDATE, allowed: tuple[re.Pattern, ...] = ALLOWED) -> list[Span]:
     out = []
     for m in candidate.finditer(text):
@@ -81,20 +94,21 @@ def high_entropy(text: str, candidate: re.Pattern = CANDIDATE, allowed: tuple[re
             continue
         for _, run, least in CLASSES:
             for r in run.finditer(s):
-                low = high = None
-                part = r.group()
-                if any(p.search(part) for p in allowed):
-                    continue
-                for i, h in enumerate(entropies(part)):
-                    if h >= least:
-                        if low is None:
-                            low = i
-                        high = i + WINDOW
-                    elif low is not None and i >= high:
-                        out.append(("entropy", m.start() + r.start() + low, m.start() + r.start() + high))
-                        low = high = None
-                if low is not None:
-                    out.append(("entropy", m.start() + r.start() + low, m.start() + r.start() + high))
+                for at, part in pieces(r.group()):
+                    if any(p.search(part.lstrip(SIGNS)) for p in allowed):
+                        continue
+                    at += m.start() + r.start()
+                    low = high = None
+                    for i, h in enumerate(entropies(part)):
+                        if h >= least:
+                            if low is None:
+                                low = i
+                            high = i + WINDOW
+                        elif low is not None and i >= high:
+                            out.append(("entropy", at + low, at + high))
+                            low = high = None
+                    if low is not None:
+                        out.append(("entropy", at + low, at + high))
     return out
 
 
