@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, mixing, multisethash, neardup, pii, quality, secrets, styletree, token_files
+from . import decontam, filteraudit, langid, mixing, multisethash, neardup, pii, quality, secrets, styletree, token_files
 from .common import table
 
 
@@ -50,6 +50,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_token_files": op9_token_files,
     "op10_secrets": op10_secrets,
+    "op11_filter_audit": op11_filter_audit,
     "pipeline": pipeline,
 }
-SQL: dict[str, str] = {"op1_decontaminate": decontam.ORACLE, "op7_near_duplicates": neardup.ORACLE}
+SQL: dict[str, str] = {"op1_decontaminate": decontam.ORACLE, "op7_near_duplicates": neardup.ORACLE, "op11_filter_audit": filteraudit.ORACLE}
