@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, filteraudit, langid, mixing, multisethash, neardup, pii, quality, secrets, styletree, token_files
+from . import decontam, filteraudit, langid, mixing, multisethash, neardup, pii, quality, secrets, styletree, token_files, vecdup, whitening
 from .common import table
 
 
@@ -54,6 +54,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vecdup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,6 +80,8 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_secrets": op10_secrets,
     "op11_filter_audit": op11_filter_audit,
+    "op12_whitening": op12_whitening,
+    "op13_near_vectors": op13_near_vectors,
     "pipeline": pipeline,
 }
 SQL: dict[str, str] = {"op1_decontaminate": decontam.ORACLE, "op7_near_duplicates": neardup.ORACLE, "op11_filter_audit": filteraudit.ORACLE}
