@@ -89,3 +89,32 @@ def test_no_python_in_the_plan(spark):
     docs, items = frames(spark)
     plan = decontam.leaks(docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+LONG_RUNS = [
+    (101, "so " + "Anna " * 200_000 + "went home"),  # one name of 200,000 words
+    (102, "see 1" + ".1" * 200_000 + " and 5" + ",000" * 50_000 + " km"),  # one number
+    (103, "x" * 1_000_000 + " " + "9" * 1_000_000 + " km " + "Ä" * 300_000),
+    (104, "A train leaves " + "Berlin " * 50_000 + "at 60 km per hour and meets Anna after 3 hours on the way to old Hamburg by 3 rivers."),
+]
+
+
+def test_long_runs_of_names_and_numbers(spark):
+    docs = spark.createDataFrame(LONG_RUNS + DOCS[:1], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()} == {(1, 1), (104, 1)}
+    tokens = docs.where("doc_id = 102").select(decontam.template(docs.text).alias("t")).collect()[0].t
+    assert tokens == ["see", "§num", "and", "§num", "§unit"]
+
+
+def test_a_window_that_many_items_and_documents_share(spark):
+    """Only the rarest windows of an item lead to pairs; pairs that share common ones alone never meet."""
+    common = "please answer the following question as briefly as you possibly can today"
+    tail = lambda k: " ".join(f"w{k}x{j}" for j in range(12))
+    items = spark.createDataFrame([(i, f"{common} {tail(i)}") for i in range(40)], "item_id long, text string")
+    docs = spark.createDataFrame([(d, f"{common} {tail(1000 + d)}") for d in range(300)] + [(1000 + i, f"{common} {tail(i)}") for i in range(0, 40, 8)], "doc_id long, text string")
+    wins = lambda t, k: decontam.windows(t, k, "text")
+    matched = wins(docs, "doc_id").selectExpr("doc_id", "pos as dpos", "window")
+    pairs = decontam._candidates(matched, wins(items, "item_id").selectExpr("item_id", "pos as ipos", "window").distinct(), 0.5)
+    assert {(r.doc_id, r.item_id) for r in pairs.collect()} == {(1000 + i, i) for i in range(0, 40, 8)}
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()} == {(1000 + i, i) for i in range(0, 40, 8)}

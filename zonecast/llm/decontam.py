@@ -24,18 +24,24 @@ the report and kept by the filter; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import settled
+
 WINDOW, LITERALS = 5, 3
 COVERAGE, CONSISTENCY = 0.5, 0.8
 BROADCAST_WINDOWS = 2_000_000
 
 # fixed values: units that count as slots when they follow a number
 UNITS = "km|m|cm|mm|kg|g|mg|lb|lbs|oz|l|ml|s|ms|min|mins|minutes|h|hours|hrs|days|weeks|months|years|miles|feet|ft|inches|mph|kmh|usd|eur|dollars|euros|cents|percent|degrees"
-NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
-QUANTITY = rf"({NUMBER}) ?({UNITS})\b"
-NAME = r"([\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
+# groups repeat possessively: otherwise Java's matcher goes one call deeper per repeat, and a long run ends the JVM.
+# Nothing that follows a group could use what it would give back, so the matches are the same.
+NUMBER = r"[0-9]++(?:[.,][0-9]++)*+"
+# a quantity is looked for at a number's start only, or a long number would be read from each of its digits
+START = r"(?<![0-9])(?<![0-9][.,])"
+QUANTITY = rf"{START}({NUMBER}) ?({UNITS})\b"
+NAME = r"([\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*+)"
 TOKEN = r"[\p{L}\p{N}§]+"
 
 
@@ -84,19 +90,38 @@ def slots(table: DataFrame, key: str, text: str) -> DataFrame:
     return out.where("pos is not null and value is not null")
 
 
+def _candidates(matched: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
+    """doc_id, item_id: pairs that can reach the coverage.
+
+    A document that covers ``need = ceil(coverage * n)`` of an item's n windows has one of any ``n - need + 1``
+    of them; the ones rarest in the documents are joined, so a window that many items and documents
+    share only meets the items that have too few others.
+    """
+    often = matched.groupBy("window").agg(F.count(F.lit(1)).alias("often"))
+    own = Window.partitionBy("item_id")
+    ranked = items.join(often, "window", "left").select(
+        "item_id", "window", F.count(F.lit(1)).over(own).alias("n"),
+        F.row_number().over(own.orderBy(F.coalesce("often", F.lit(0)), "ipos")).alias("place"),
+    )
+    first = ranked.where(F.col("place") <= F.col("n") - F.greatest(F.ceil(F.lit(float(coverage)) * F.col("n")), F.lit(1)) + 1)
+    return matched.select("doc_id", "window").join(first.select("item_id", "window").distinct(), "window").select("doc_id", "item_id").distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistency: float = CONSISTENCY) -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_hit, coverage, n_slots (aligned), consistency, for each leak."""
     ours = benchmark.select("item_id", F.col("text").alias("text"))
-    items = windows(ours, "item_id", "text").select("item_id", F.col("pos").alias("ipos"), "window").distinct()
+    items = settled(windows(ours, "item_id", "text").select("item_id", F.col("pos").alias("ipos"), "window").distinct(), "item-windows")
     size = items.groupBy("item_id").agg(F.count_distinct("ipos").alias("n_windows"))
     small = items.count() <= BROADCAST_WINDOWS
+    near = F.broadcast if small else lambda df: df
     texts = docs.select("doc_id", "text")
-    theirs = windows(texts, "doc_id", "text")
-    met = theirs.join(F.broadcast(items) if small else items, "window").select("doc_id", "item_id", F.col("pos").alias("dpos"), "ipos")
-    hits = met.groupBy("doc_id", "item_id", "ipos").agg(F.count(F.lit(1)).alias("times"), F.collect_set(F.col("dpos") - F.col("ipos")).alias("offs"))
-    covered = hits.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_hit"), F.array_distinct(F.flatten(F.collect_list("offs"))).alias("offs"))
-    found = covered.join(F.broadcast(size) if small else size, "item_id").where(F.col("n_hit") >= coverage * F.col("n_windows"))
-    found = found.select("doc_id", "item_id", "n_windows", "n_hit", F.explode("offs").alias("off"))
+    theirs = windows(texts, "doc_id", "text").select("doc_id", F.col("pos").alias("dpos"), "window")
+    matched = settled(theirs.join(near(items.select("window").distinct()), "window", "left_semi"), "doc-windows")
+    both = _candidates(matched, items, coverage).join(items, "item_id").join(matched, ["doc_id", "window"])
+    hits = settled(both.select("doc_id", "item_id", "ipos", "dpos").distinct(), "window-hits")
+    covered = hits.groupBy("doc_id", "item_id").agg(F.count_distinct("ipos").alias("n_hit"))
+    pairs = covered.join(near(size), "item_id").where(F.col("n_hit") >= coverage * F.col("n_windows")).select("doc_id", "item_id", "n_windows", "n_hit")
+    found = hits.select("doc_id", "item_id", (F.col("dpos") - F.col("ipos")).alias("off")).distinct().join(pairs, ["doc_id", "item_id"])
 
     suspects = found.select("doc_id").distinct()
     of_doc = slots(texts.join(suspects, "doc_id", "left_semi"), "doc_id", "text").select("doc_id", "kind", F.col("pos").alias("dpos"), F.col("value").alias("dvalue"))
@@ -108,8 +133,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
     sides = by_item.drop("ivalue").unionByName(by_doc.drop("dvalue"))
     agree = sides.groupBy("doc_id", "item_id").agg((F.sum("n") / 2).cast("long").alias("n_slots"), (F.sum("best") / F.sum("n")).alias("consistency"))
 
-    pairs = found.select("doc_id", "item_id", "n_windows", "n_hit").distinct().join(agree, ["doc_id", "item_id"], "left")
-    out = pairs.select("doc_id", "item_id", "n_windows", "n_hit", (F.col("n_hit") / F.col("n_windows")).alias("coverage"), F.coalesce("n_slots", F.lit(0).cast("long")).alias("n_slots"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"))
+    out = pairs.join(agree, ["doc_id", "item_id"], "left").select("doc_id", "item_id", "n_windows", "n_hit", (F.col("n_hit") / F.col("n_windows")).alias("coverage"), F.coalesce("n_slots", F.lit(0).cast("long")).alias("n_slots"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"))
     return out.where(F.col("consistency") >= consistency)
 
 
@@ -119,7 +143,12 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
     return docs.join(gone, docs["doc_id"] == gone["_leak"], "left_anti")
 
 
-_TOKENS = f"""regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{NAME}', '\\1§name', 'g'), '{QUANTITY}', ' §num §unit ', 'g'), '{NUMBER}', ' §num ', 'g')), '{TOKEN}')"""
+def _re2(pattern: str) -> str:
+    """The same pattern without possessive repeats and the look behind, which DuckDB's engine doesn't need."""
+    return pattern.replace(START, "").replace("*+", "*").replace("++", "+")
+
+
+_TOKENS = f"""regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{_re2(NAME)}', '\\1§name', 'g'), '{_re2(QUANTITY)}', ' §num §unit ', 'g'), '{_re2(NUMBER)}', ' §num ', 'g')), '{TOKEN}')"""
 
 
 def _sql_windows(table: str, key: str, pos: str) -> str:
@@ -130,11 +159,11 @@ def _sql_windows(table: str, key: str, pos: str) -> str:
 
 
 def _sql_slots(table: str, key: str, pos: str, value: str) -> str:
-    bare = f"regexp_replace(coalesce(text, ''), '{NAME}', '\\1§name', 'g')"
+    bare = f"regexp_replace(coalesce(text, ''), '{_re2(NAME)}', '\\1§name', 'g')"
     one = lambda kind, values: f"""select {key}, '{kind}' as kind, p[i] - 1 as {pos}, v[i] as {value} from (
         select {key}, p, v, unnest(range(1, least(len(p), len(v)) + 1)) as i from (
           select {key}, list_filter(range(1, len(tokens) + 1), lambda j: tokens[j] = '§{kind}') as p, v from (select {key}, {_TOKENS} as tokens, {values} as v from {table} where {key} is not null)))"""
-    return " union all ".join([one("num", f"regexp_extract_all({bare}, '{NUMBER}')"), one("unit", f"regexp_extract_all({bare}, '{QUANTITY}', 2)"), one("name", f"regexp_extract_all(coalesce(text, ''), '{NAME}', 2)")])
+    return " union all ".join([one("num", f"regexp_extract_all({bare}, '{_re2(NUMBER)}')"), one("unit", f"regexp_extract_all({bare}, '{_re2(QUANTITY)}', 2)"), one("name", f"regexp_extract_all(coalesce(text, ''), '{_re2(NAME)}', 2)")])
 
 
 ORACLE = f"""with items as (select distinct * from ({_sql_windows('benchmark', 'item_id', 'ipos')})),
