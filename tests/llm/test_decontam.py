@@ -110,7 +110,8 @@ def test_long_runs_of_names_and_numbers(spark):
 def test_a_window_that_many_items_and_documents_share(spark):
     """Only the rarest windows of an item lead to pairs; pairs that share common ones alone never meet."""
     common = "please answer the following question as briefly as you possibly can today"
-    tail = lambda k: " ".join(f"w{k}x{j}" for j in range(12))
+    word = lambda n: "".join("abcdefghij"[int(c)] for c in str(n))
+    tail = lambda k: " ".join(f"w{word(k)}x{word(j)}" for j in range(12))
     items = spark.createDataFrame([(i, f"{common} {tail(i)}") for i in range(40)], "item_id long, text string")
     docs = spark.createDataFrame([(d, f"{common} {tail(1000 + d)}") for d in range(300)] + [(1000 + i, f"{common} {tail(i)}") for i in range(0, 40, 8)], "doc_id long, text string")
     wins = lambda t, k: decontam.windows(t, k, "text")

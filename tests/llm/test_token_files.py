@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -35,10 +36,26 @@ def test_encoder_equals_library():
     tok, enc = Tokenizer.from_file(PATH), tf.CachedEncoder(PATH, keep=5)
     for _ in range(3):
         for t in TEXTS:
-            got = np.frombuffer(enc.encode_many([t or ""])[0], enc.dtype).tolist()
+            got = np.frombuffer(enc.encode_many([(t or "").encode()])[0], enc.dtype).tolist()
             assert got == tok.encode(t or "", add_special_tokens=False).ids
 
 
+def test_random_unicode_equals_library():
+    """Marks, capitals that become several characters, jamo, digits of all scripts, each before full stops and commas."""
+    rng = random.Random(11)
+    odd = "İıßſŉǰΐẞﬁΣςσΆ" + "\u0301\u0307\u0308\u0345\u0323" + "".join(map(chr, range(0x1100, 0x1113))) + "".join(map(chr, range(0x1161, 0x1170))) + "한国語テ½²①Ⅷ٣Āå\u212b\u1e9b\u0130"
+    letters = "abcXYZ" * 6 + "éüñÄÖ" * 3 + odd
+    every = [c for c in map(chr, range(0x21, 0x30000)) if not 0xD800 <= ord(c) < 0xE000]
+    tok, enc = Tokenizer.from_file(PATH), tf.CachedEncoder(PATH, keep=3000)
+    for i in range(10_000):
+        pool = letters if i % 4 else rng.choices(every, k=20)
+        words = ["".join(rng.choices(pool, k=rng.randint(1, 6))) + rng.choice(["", "", ".", ",", "..", ".,", "'s", "!"]) for _ in range(rng.randint(1, 5))]
+        t = rng.choice([" ", "\n", "  ", "\t"]).join(words)
+        assert np.frombuffer(enc.encode_many([t.encode()])[0], enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, t
+    for t in ["TATİLİ.", "ev İYİ, güzel", "x<|ENDOFTEXT|> y<|endoftext|>Z."]:
+        assert np.frombuffer(enc.encode_many([t.encode()])[0], enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 @pytest.mark.parametrize("seq_len,rows", [(8, 1), (64, 8192), (1024, 8192)])
 def test_round_trip(spark, scratch, seq_len, rows):
     data = [(i * 3 % 17, t) for i, t in enumerate(TEXTS * 4)] + [(None, "no id")]

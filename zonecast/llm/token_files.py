@@ -25,6 +25,7 @@ table gives an empty manifest; other columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -43,86 +44,91 @@ MANIFEST = "part int, seq int, path string, n_ids long, n_docs long, n_rows long
 BATCH_ROWS = 256
 
 
+class _Pieces(dict):
+    """Ids by piece; an unknown piece is learnt when it is asked for."""
+
+    def __init__(self, learn):
+        super().__init__({b"": b""})
+        self.learn = learn
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self[piece] = self.learn(piece)
+        return ids
+
+
 class CachedEncoder:
     """Encode texts with the tokenizers library, each distinct space-delimited piece once.
 
     The pre-tokenizer of these vocabularies never joins characters across white
-    space, so pieces between spaces and line feeds encode independently.  Pieces
-    seen lately are kept in two generations of ``keep`` entries each.
+    space, so pieces between spaces and line feeds encode independently.  It cuts words from
+    what follows them, too: a word whose normal form is all letters goes to the model by itself, with or
+    without a full stop or comma behind it.  Every other piece is encoded as it stands (a final letter like
+    ``İ`` becomes a letter and a mark, and the mark goes with the comma).  Pieces seen lately are
+    kept in two generations of ``keep`` entries each.
     """
 
+    #: alphabets up to here are letters to every version of the library; later ones are encoded as whole pieces
+    PLAIN = "\u0530"
+
     def __init__(self, path: str, keep: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         size = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.pack = {n: struct.Struct(f"<{n}{'H' if self.dtype.itemsize == 2 else 'I'}").pack for n in range(64)}
         self.keep = keep
-        self.new: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-        ends = np.zeros(size, bool)
-        for token, i in self.tok.get_vocab(with_added_tokens=True).items():
-            ends[i] = token.endswith("</w>")
-        self.ends = ends
+        self.new, self.old = _Pieces(self._learn), {}
+        self.words: dict[bytes, bytes] = {}  # words of letters, with or without a tail
+        normal = self.tok.normalizer
+        self.normal = normal.normalize_str if normal else str
+        self.tokenize, self.cut = self.tok.model.tokenize, self.tok.pre_tokenizer.pre_tokenize_str
+        self.lowers = self.normal("AZ") == "az"
+        # added tokens are found before letters become small
+        self.added = [t.content.encode().lower() for t in self.tok.get_added_tokens_decoder().values()]
 
     def _encode(self, piece: str) -> bytes:
         return np.array(self.tok.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Words of letters only, in one call: each ends where a token ends a word."""
-        ids = np.array(self.tok.encode(" ".join(words), add_special_tokens=False).ids, self.dtype)
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(words) or (len(ids) and cuts[-1] != len(ids)):
-            return [self._encode(w) for w in words]
-        raw, w = ids.tobytes(), self.dtype.itemsize
-        out, at = [], 0
-        for c in cuts.tolist():
-            out.append(raw[at * w : c * w])
-            at = c
-        return out
-
-    def _learn(self, pieces: set[str]) -> None:
-        new, old = self.new, self.old
-        words, tails, plain, tokenize = {}, [], [], self.tok.model.tokenize
-        for p in pieces:
-            kept = old.get(p)
-            if kept is not None:
-                new[p] = kept
-                continue
-            stem, tail = (p[:-1], p[-1]) if p[-1] in ".," else (p, "")
-            if not stem.isalpha():
-                plain.append(p)
-                continue
-            if stem.isascii():  # lower-cased, such a word is what the model itself gets
-                stem = stem.lower()
-                if stem not in new:
-                    new[stem] = old.get(stem) or np.array([t.id for t in tokenize(stem)], self.dtype).tobytes()
-            elif stem not in new:
-                words[stem] = b""
-            tails.append((p, stem, tail))
-        if words:
-            words.update(zip(words, self._encode_words(list(words)), strict=True))
-            new.update(words)
-        for p, stem, tail in tails:
-            if tail and tail not in new:
-                new[tail] = self._encode(tail)
-            new[p] = new[stem] + (new[tail] if tail else b"")
-        for p in plain:
-            new[p] = self._encode(p)
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian bytes."""
+    def _model(self, word: str) -> bytes:
+        ids = [t.id for t in self.tokenize(word)]
+        return self.pack[len(ids)](*ids) if len(ids) < 64 else np.array(ids, self.dtype).tobytes()
+
+    def _word(self, word: bytes) -> bytes | None:
+        """The ids of a word of letters; None if it, or its normal form, has other characters."""
+        if word.isalpha() and self.lowers:  # ASCII
+            return self._model(word.lower().decode())
+        text = word.decode()
+        if not text.isalpha() or max(text) >= self.PLAIN:
+            return None
+        text = self.normal(text)
+        if not text.isalpha() or max(text) >= self.PLAIN:
+            return None
+        parts = self.cut(text)  # in the model's alphabet
+        return self._model(parts[0][0]) if len(parts) == 1 else None
+
+    def _learn(self, piece: bytes) -> bytes:
+        kept = self.old.get(piece)
+        if kept is not None:
+            return kept
+        stem = piece[:-1] if piece[-1] in b".," else piece
+        ids = self.words.get(stem)
+        if ids is None and (ids := self._word(stem)) is not None:
+            self.words[stem] = ids
+        if ids is None:
+            return self._encode(piece.decode())
+        return ids if stem is piece else ids + self.new[piece[-1:]]
+
+    def encode_many(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text (UTF-8) as little-endian bytes."""
         if len(self.new) > self.keep:
-            self.old, self.new = self.new, {"": b""}
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        get = self.new.get
-        found = [list(map(get, pieces)) for pieces in split]
-        missing = {p for pieces, got in zip(split, found, strict=True) if None in got for p, g in zip(pieces, got, strict=True) if g is None}
-        if missing:
-            self._learn(missing)
-            get = self.new.get
-            found = [list(map(get, pieces)) if None in got else got for pieces, got in zip(split, found, strict=True)]
-        return [b"".join(got) for got in found]
+            self.old, self.new, self.words = dict(self.new), _Pieces(self._learn), {}
+        get, out = self.new.__getitem__, []
+        for t in texts:
+            if self.lowers and not any(a in (low := t.lower()) for a in self.added):
+                t = low
+            out.append(b"".join(map(get, t.replace(b"\n", b" ").split(b" "))))
+        return out
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}
@@ -223,7 +229,7 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, folder: str, seq_len:
             rows.append((part, seq, out.path, *out.close()))
 
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1)
+            ids, texts = b.column(0).to_pylist(), b.column(1).cast(pa.binary())
             for low in range(0, len(ids), 512):
                 raws = enc.encode_many(texts.slice(low, 512).to_pylist())
                 for d, raw in zip(ids[low : low + 512], raws, strict=True):
