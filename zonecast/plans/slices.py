@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.operators import features, models, prep, summaries, zones
+from zonecast.operators import cube, features, models, prep, summaries, zones
 from zonecast.operators.features import FeatureState
 
 
@@ -34,10 +34,12 @@ class Panels(Mapping):
 def dashboard_panels(df: DataFrame, pitch_types: Sequence[str] | None, pitchers: Sequence[str] | None = None,
                      heatmap_pitch_type: str = "All", bins: int = 25, grid_value: str = "count",
                      grid_filters: dict | None = None, metrics: DataFrame | None = None,
-                     importances: DataFrame | None = None) -> Panels:
+                     importances: DataFrame | None = None, cells: DataFrame | None = None) -> Panels:
     """Every panel of the view for one filter state.  An empty or tiny slice gives empty or zero frames.
 
-    ``metrics`` (stored metrics) and ``importances`` add the model panels.
+    ``metrics`` (stored metrics) and ``importances`` add the model panels.  With ``cells``
+    (``cube.dashboard_cells(df)``, built once for all filter states) every panel but the heatmap and the
+    histogram reads only them.
     """
     df = prep.derive_name(df)
     cond = prep.multiselect_condition(df, pitch_types, pitchers)
@@ -57,6 +59,20 @@ def dashboard_panels(df: DataFrame, pitch_types: Sequence[str] | None, pitchers:
         "zone_grid": lambda: zones.zone_grid_scaled(prep.min_rows_gate(grid_src, 5), grid_value),
         "grid_summary": lambda: summaries.overview_totals(grid_src),
     }
+    if cells is not None:
+        shown_cells = cells.filter(prep.multiselect_condition(cells, pitch_types, pitchers))
+        heat_cells = prep.filter_slice(shown_cells, pitch_type=heatmap_pitch_type)
+        grid_cells = prep.filter_slice(cells, **(grid_filters or {}))
+        panels |= {
+            "filter_options": lambda: cube.filter_options(cells, options),
+            "shown_vs_total": lambda: cube.shown_vs_total(cells, prep.multiselect_condition(cells, pitch_types, pitchers)),
+            "overview": lambda: cube.totals(shown_cells),
+            "rate_by_pitch_type": lambda: cube.rate_by(shown_cells, "pitch_type"),
+            "rate_by_count": lambda: cube.rate_by_count_label(shown_cells),
+            "heatmap_summary": lambda: cube.slice_summary(heat_cells),
+            "zone_grid": lambda: cube.zone_grid_scaled(grid_cells, grid_value, 5),
+            "grid_summary": lambda: cube.totals(grid_cells),
+        }
     if metrics is not None:
         panels["metrics"] = lambda: metrics
     if importances is not None:
