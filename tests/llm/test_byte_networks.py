@@ -110,3 +110,8 @@ def test_queries_reach_their_held_out_accuracy(spark):
     assert len(q) > 50 and np.mean([a == b for a, b in q]) >= 0.95
     lang = [(r.lang_pred, r.lang) for r in registry.op8_language(spark, folder).where("held_out and lang_pred <> 'und'").join(docs, "doc_id").collect()]
     assert len(lang) > 150 and np.mean([a == b for a, b in lang]) >= 0.95
+
+
+def test_numbers_are_no_letters():
+    assert not any(map(langid.has_letter, ["", "½ ² ①", "Ⅷ", "12 _ %", "٣"]))
+    assert all(map(langid.has_letter, ["½a", "é", "日", "ª", "1 x"]))

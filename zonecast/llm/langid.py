@@ -29,7 +29,11 @@ from .byteconv import ByteConv, Shipped, chunked, softmax, spread_bytes
 from .common import crc_bucket
 
 WINDOW, FILTERS = 256, 16
-LETTER = re.compile(r"[^\W\d_]")
+_MAYBE = re.compile(r"[^\W\d_]")  # letters, and numbers that are no digits
+
+
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in _MAYBE.finditer(text))
 
 
 def windows_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +58,7 @@ def fit(docs: DataFrame, learn: Column | None = None, max_docs: int = 4000, wind
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.binary()), b.column(2)], names=["doc_id", "raw", "label"])
 
     cut = found.select("doc_id", "raw", "label").mapInArrow(pieces, "doc_id long, raw binary, label string")
-    rows = [r for r in cut.groupBy("doc_id").agg(F.min("raw").alias("raw"), F.min("label").alias("label")).collect() if LETTER.search(bytes(r.raw).decode("utf-8", "ignore"))]
+    rows = [r for r in cut.groupBy("doc_id").agg(F.min("raw").alias("raw"), F.min("label").alias("label")).collect() if has_letter(bytes(r.raw).decode("utf-8", "ignore"))]
     rows.sort(key=lambda r: r.doc_id)
     if not rows:
         return None, []
@@ -89,7 +93,7 @@ def predict(docs: DataFrame, model: Shipped | None, classes: list[str]) -> DataF
                 part = b.slice(low, 512)
                 texts = part.column(1).to_pylist()
                 lang, score = ["und"] * len(texts), [0.0] * len(texts)
-                use = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if net else []
+                use = [i for i, t in enumerate(texts) if t and has_letter(t)] if net else []
                 k = 0
                 while k < len(use):  # about 256 KB of text at once
                     z, size = k, 0
