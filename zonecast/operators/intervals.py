@@ -27,7 +27,8 @@ def _number(c: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(c).cast("double")
     if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+        day = F.unix_date(F.to_date(c)).cast("double") * 86_400_000_000.0  # no time zone takes part
+        return day + (F.hour(c) * 3600 + F.minute(c) * 60) * 1e6 + F.extract(F.lit("SECOND"), c).cast("double") * 1e6
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("double")
     return c.cast("double")
