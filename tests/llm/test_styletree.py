@@ -108,7 +108,7 @@ def test_importance_outvotes_words_where_no_article_tells(spark):
     got = texts_of(spark, [f"<body><div class=xa>{same}</div><div class=widget><p>Story {i}</p></div><div class=share>tell others</div></body>" for i in range(40)])
     assert got[3] == "Story 3"
     got = texts_of(spark, [f"<article><p>Story {i}, which is rather longer than all the rest</p><div class=promotion>Part {i} of it</div><div class=share>tell others</div></article><footer>of {i}</footer>" for i in range(40)])
-    assert got[3] == "Story 3, which is rather longer than all the rest\nPart 3 of it"
+    assert got[3] == "Story 3, which is rather longer than all the rest"  # promotion and share go by their names
 
 
 def test_copies_do_not_lower_importance(spark):
@@ -117,3 +117,41 @@ def test_copies_do_not_lower_importance(spark):
     got = texts_of(spark, [many] * 200 + others)
     assert got[0] == "T\nOne text, printed often, with a head and a foot.\nIts own foot"
     assert got[205] == "T5\nStory 5 which is long enough for an article\nFoot 5"
+
+
+def test_named_branches_go_where_they_vary_too(spark):
+    """Comments, adverts, notices, side bars and footers that differ from page to page."""
+    extra = "<section class=comments><p>Reader {i} says: I liked part {k}</p></section><div class=ad>Buy thing {k} now</div><p class=notice>Notice {i}</p>"
+    fill = lambda t, i: t.replace("{i}", str(i)).replace("{k}", str(i * 7))
+    got = texts_of(spark, [fill("<body><article><h1>Head {i}</h1><p>Story {i} goes on</p>" + extra + "</article><article class=comment><p>I am {i}</p></article><aside><article><p>Other {i}</p></article></aside></body>", i) for i in range(60)])
+    assert all(got[i] == f"Head {i}\nStory {i} goes on" for i in range(60))
+    got = texts_of(spark, [fill("<body><div id=top><h1>Head {i}</h1><p>Story {i} goes on</p></div>" + extra + "<div class=sidebar>Latest {i}</div><footer>Printed {k} times</footer></body>", i) for i in range(60)], "b.example")
+    assert all(got[i] == f"Head {i}\nStory {i} goes on" for i in range(60))
+
+
+def test_style_trees_decide_about_unnamed_branches(spark):
+    """Without the trees the result of these pages is another one."""
+    sources = [f"<body><div class=q1>Start Contact Terms of use</div><div class=q2><h1>Head {i}</h1><p>Story {i} tells of {i * 7} and more</p><div class=q3>Printed with permission, all rights kept</div></div><div class=q4>More from this house</div></body>" for i in range(40)]
+    got = texts_of(spark, sources)
+    assert all(got[i] == f"Head {i}\nStory {i} tells of {i * 7} and more" for i in range(40))
+    assert text_of(sources[3]) != got[3]
+
+
+@pytest.mark.parametrize("src,want", [
+    ("<html><head><title>T</title><body><article><p>Kept</p></article>", "Kept"),
+    ("<head><meta charset=x><p>Kept", "Kept"),
+    ("<head><title>T</title>Loose text<p>b", "Loose text\nb"),
+    ('<article><div title="The hidden valley"><p>Kept</p></div></article>', "Kept"),
+    ('<article data-tags="open hidden" data-class="ad"><p alt=\'class="ad"\'>Kept</p></article>', "Kept"),
+    ('<article><p data-x="<div class=ad>a > b">Kept</p></article>', "Kept"),
+    ("<article><p title=John's>One</p><p>don't</p></article>", "One\ndon't"),
+    ("<article><svg/><p>One</p><iframe src=x /><p>Two</p><svg><path/><text>no</text></svg><p>Three</p></article>", "One\nTwo\nThree"),
+    ("<article><p>One</p><iframe src=x><p>Two</p></article>", "One\nTwo"),
+    ("<article><table><tr><td>a<td>b<tr><td>c</table><dl><dt>d<dd>e</dl><p>f<div>g</div></article>", "a\nb\nc\nd\ne\nf\ng"),
+    ("<article><div class=has-sidebar><p>One</p></div><div class=post-with-ads><p>Two</p></div><div class=main-ads>buy</div></article>", "One\nTwo"),
+    ("<article><header><h1>Title</h1></header><p>One</p><footer>me</footer></article><header>Site</header>", "Title\nOne"),
+    ('<article><p style="color:red; display : none">no</p><p HIDDEN>no</p><p hidden="">no</p><p Class="AD">no</p><p>One</p></article>', "One"),
+    ("<div role=main><p>One</p></div><div role=contentinfo>no</div><ul id=nav><li>no</ul>", "One"),
+])
+def test_markup_cases(src, want):
+    assert text_of(src) == want

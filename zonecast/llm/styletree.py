@@ -16,17 +16,17 @@ importance, with ``STYLE`` parts of its presentation importance.  Branches below
 ``LEAST`` are removed, from the top down; an unknown place counts as important.
 Beside that:
 
-* Tag and class words (menus, headers, footers, side bars, notices, adverts,
-  forms, reader comments) are a prior of ``BOILERPLATE`` that a branch is main
-  text; its importance changes the odds, and an unknown one leaves them.  Outside
-  the ``article`` or ``main`` of a page that has one the words alone decide:
-  footers and adverts there may well differ from page to page.
-* Words never remove a branch that holds an outermost ``article`` or ``main``, nor,
-  on a page without one, a branch with most of the page's text.
-* Importance never removes an outermost ``article`` or ``main`` or what holds it, nor
-  the place with most of the text in it.  Elsewhere a branch with most of the
-  page's text goes only if nothing in it is important.  If importance would leave
-  nothing of a page, it removes nothing in ``article`` or ``main`` and no such branch.
+* Tag and class words name menus, headers, footers, side bars, notices, adverts, forms and reader
+  comments.  Such branches go whatever their importance, as much of them differs from page to page.
+  ``has-``, ``no-``, ``with-`` or ``without-`` before a word takes it back, and a header inside an
+  ``article`` or ``main`` is judged by its importance.
+* The main elements of a page are its outermost ``article`` and ``main`` elements outside such branches
+  (if there are none: in them).  Words never remove a branch that holds one.
+* On a page without, words decide where at least ``FREE`` of the text is important and outside such
+  branches.  Elsewhere they are a prior of ``BOILERPLATE`` that a branch is main text, and its importance changes the
+  odds; a branch with most of the page's text goes only if nothing in it is important.
+* Importance never removes a main element or what holds it, nor the place with most of the text in it.
+  If importance would leave nothing of a page, it removes nothing in main elements and no branch with most of the text.
 
 Scripts, styles, markup and what is never shown are dropped; character
 references decoded; white space in a block becomes one space; blocks are joined
@@ -38,8 +38,8 @@ pages by a join that Spark broadcasts while its file is small and shuffles (and
 splits where skewed) beyond.
 
 Defined cases: null or empty html gives empty text; null url is a host of its own;
-broken markup is read as far as it goes (linear in the page); repeated ids are
-read each; other columns are ignored.
+broken markup is read as far as it goes (linear in the page), and the end of ``head`` and
+of list items, cells and paragraphs may be missing; repeated ids are read each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -57,23 +57,28 @@ from pyspark.sql import functions as F
 from .common import settled
 
 LEAST, STYLE, EVIDENCE = 0.35, 0.2, 8
-BOILERPLATE = 0.2
+BOILERPLATE, FREE = 0.2, 0.15
 
 # fixed values: element kinds
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math head title textarea select option button object canvas audio video".split())
 RAW_TEXT = frozenset("script style title textarea iframe noscript".split())
+FOREIGN = frozenset("svg math iframe object canvas video audio".split())
+ENDS = {tag: re.compile(rf"</{tag}[\s/>]", re.I) for tag in RAW_TEXT}
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br img wbr".split())
+IN_HEAD = frozenset("title meta link script style base noscript template head html".split())
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SELF_CLOSING = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table"))}
 # fixed values: class and id words
 BOILER_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar side-bar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing social comment comments respond replies disqus related recommended widget pagination pager copyright toolbar".split()
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar side-bar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing social comment comments respond replies disqus related recommended widget pagination pager copyright toolbar contentinfo complementary dialog".split()
 )
+TAKES_BACK = frozenset("has no with without".split())
 
-TOKEN = re.compile(r"<!--|<!|<\?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)>?")
-ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+TOKEN = re.compile(r"<!--|<!|<\?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*+(?:\"[^\"]*\"|'[^']*')|[^><])*+)>?")
+ATTR = re.compile(r"([^\s=/]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|(\S*)))?")  # one after the other, values whole
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 WORD = re.compile(r"[a-z]+(?:-[a-z]+)*")
 
 
@@ -81,6 +86,18 @@ def _hash(*parts: str) -> int:
     return int.from_bytes(blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+def _is_boilerplate(tag: str, words: list[str], inside: bool) -> bool:
+    if tag in BOILER_TAGS and not (inside and tag == "header"):
+        return True
+    for word in words:
+        before = ""
+        for part in ((word,) if "-" not in word else (word, *word.split("-"))):
+            if part in BOILER_WORDS and before not in TAKES_BACK and not (inside and part == "header"):
+                return True
+            before = part
+    return False
+
+
 class Page:
     """Nodes of a page in order of their start; node 0 is the body.  ``weight`` is 0 where nothing is shown, ``main``
     tells outermost article and main elements.  ``blocks``: (node, text) in page order."""
@@ -100,11 +117,13 @@ class Page:
                 kind = m[1].lower()
                 if kind == "hidden":
                     hidden = True
-                else:
-                    names += (m[2] or m[3] or m[4] or "").lower().split()
+                elif kind == "style":
+                    hidden = hidden or bool(UNSEEN.search(m[2] or m[3] or m[4] or ""))
+                elif kind in ("class", "id", "role"):
+                    names += entities.unescape(m[2] or m[3] or m[4] or "").lower().split()
         words = sorted({w for n in names for w in WORD.findall(n)})
         hidden = hidden or not self.weight[parent]
-        boiler = tag in BOILER_TAGS or any(p in BOILER_WORDS for w in words for p in (w, *w.split("-")))
+        boiler = _is_boilerplate(tag, words, self.inside[parent])
         self.key.append(_hash(str(self.key[parent]), tag, *words))
         self.parent.append(parent)
         self.children.append([])
@@ -120,6 +139,7 @@ class Page:
         count: dict[str, int] = {"body": 1}
         text: list[str] = []
         muted = 0  # open elements that are never shown
+        endless: set[str] = set()  # raw elements without a further end tag
 
         def flush() -> None:
             if text:
@@ -148,8 +168,11 @@ class Page:
             low = html.find("<", at)
             if low < 0:
                 low = size
-            if low > at and not muted:
-                text.append(html[at:low])
+            if low > at:
+                if stack[-1][0] == "head" and not html[at:low].isspace():
+                    close("head")
+                if not muted:
+                    text.append(html[at:low])
             if low == size:
                 break
             m = TOKEN.match(html, low)
@@ -169,12 +192,21 @@ class Page:
                 elif tag == "br" and not muted:
                     text.append(" ")
                 continue
+            if tag not in IN_HEAD and count.get("head"):
+                close("head")  # its end tag may be missing
             if tag in ("html", "body"):
                 continue
+            if tag in FOREIGN and m[3].endswith("/"):
+                if not muted:
+                    text.append(" ")
+                continue
             if tag in RAW_TEXT:
-                end = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
+                end = None if tag in endless else ENDS[tag].search(html, at)
                 if end is None:
-                    break
+                    endless.add(tag)
+                    if tag in ("script", "style", "title", "textarea"):
+                        break
+                    continue
                 at = html.find(">", end.start())
                 at = size if at < 0 else at + 1
                 if not muted:
@@ -236,8 +268,19 @@ def kept_blocks(page: Page, importance: dict[tuple[int, bool], tuple[float, bool
         good[above] += good[node]
         odds[above] += odds[node]
         best[above] = max(best[above], best[node])
-    holds = [m and s > 0 for m, s in zip(page.main, size, strict=True)]
+    free, clean, free_good = [True] * n, False, 0.0
+    for node in range(1, n):
+        free[node] = free[page.parent[node]] and page.weight[node] == 1
+        clean = clean or (page.main[node] and free[node] and size[node] > 0)
+    for node, text in page.blocks:
+        if free[node]:
+            free_good += len(text) * importance.get((page.key[node], True), unknown)[0]
+    holds = [m and s > 0 and (f or not clean) for m, s, f in zip(page.main, size, free, strict=True)]
+    inside = holds[:]
+    for node in range(1, n):
+        inside[node] = inside[node] or inside[page.parent[node]]
     main = sum(s for h, s in zip(holds, size, strict=True) if h)
+    words_decide = main or free_good >= FREE * size[0]
     place: dict[int, float] = {}
     for node in range(n - 1, 0, -1):
         holds[page.parent[node]] |= holds[node]
@@ -250,15 +293,16 @@ def kept_blocks(page: Page, importance: dict[tuple[int, bool], tuple[float, bool
         if holds[node]:
             return False
         style, sure = importance.get((page.key[node], False), unknown)
-        if weight < 1 and (main or not most):
-            if main and not page.inside[node]:
+        if weight < 1:
+            if words_decide:
                 return True
-            v = (1 - STYLE) * odds[node] / size[node] + STYLE * (style if sure else min(style, 0.5))
-            return weight * v < LEAST * (weight * v + (1 - weight) * (1 - v))
-        if page.inside[node]:
+            if not most:
+                v = (1 - STYLE) * odds[node] / size[node] + STYLE * (style if sure else min(style, 0.5))
+                return weight * v < LEAST * (weight * v + (1 - weight) * (1 - v))
+        if inside[node]:
             if careful or 2 * place[page.key[node]] > main:
                 return False
-        elif most:
+        elif most and not main:
             return not careful and best[node] < LEAST
         return (1 - STYLE) * good[node] / size[node] + STYLE * style < LEAST
 
