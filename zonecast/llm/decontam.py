@@ -13,8 +13,8 @@ position) one value of the item stands for one value of the document and the
 other way round, in at least ``consistency`` of the aligned slots.  That tells
 re-parameterised questions from boilerplate of the same shape.
 
-The benchmark's windows are broadcast while their counted number is at most
-``BROADCAST_WINDOWS`` (16 bytes each), and joined by a shuffle beyond.
+The benchmark's windows, and the ids of documents that cover an item, are broadcast while their counted number
+is at most ``BROADCAST_WINDOWS`` (16 bytes each), and joined by a shuffle beyond.
 
 Defined cases: null and blank texts have no window; items shorter than a window
 (or without one of enough literals) never match; rows with equal ids count as
@@ -123,8 +123,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
     pairs = covered.join(near(size), "item_id").where(F.col("n_hit") >= coverage * F.col("n_windows")).select("doc_id", "item_id", "n_windows", "n_hit")
     found = hits.select("doc_id", "item_id", (F.col("dpos") - F.col("ipos")).alias("off")).distinct().join(pairs, ["doc_id", "item_id"])
 
-    suspects = found.select("doc_id").distinct()
-    of_doc = slots(texts.join(suspects, "doc_id", "left_semi"), "doc_id", "text").select("doc_id", "kind", F.col("pos").alias("dpos"), F.col("value").alias("dvalue"))
+    suspects = settled(pairs.select("doc_id").distinct(), "suspects")
+    few = F.broadcast(suspects) if suspects.count() <= BROADCAST_WINDOWS else suspects  # else the texts are shuffled
+    of_doc = slots(texts.join(few, "doc_id", "left_semi"), "doc_id", "text").select("doc_id", "kind", F.col("pos").alias("dpos"), F.col("value").alias("dvalue"))
     of_item = slots(ours, "item_id", "text").select("item_id", "kind", F.col("pos").alias("ipos"), F.col("value").alias("ivalue"))
     aligned = found.join(of_item, "item_id").withColumn("dpos", F.col("ipos") + F.col("off")).join(of_doc, ["doc_id", "kind", "dpos"])
     mapped = aligned.groupBy("doc_id", "item_id", "off", "kind", "ivalue", "dvalue").agg(F.count(F.lit(1)).alias("c"))
