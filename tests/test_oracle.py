@@ -7,6 +7,7 @@ from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
 SQLS = E.oracle_sql()
+SLOW = {"boosted_model"}  # 200 rounds, about 1,400 jobs one after the other: compared by tests/oracle_compare.py
 QUERIES = E.queries()
 
 
@@ -15,7 +16,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(SQLS))
+@pytest.mark.parametrize("name", sorted(set(SQLS) - SLOW))
 def test_matches_duckdb(spark, con, name):
     problems, _ = compare(spark, con, name, QUERIES[name], SQLS[name], SF)
     assert not problems, problems

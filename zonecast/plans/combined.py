@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from zonecast.operators import cube, diff, distinct, intervals, ordered, prep, sketches
-from zonecast.plans.oracle import _GRID, with_base
+from zonecast import schema as S
+from zonecast.operators import cube, diff, distinct, evaluation, features, intervals, models, ordered, prep, sketches, split
+from zonecast.plans.oracle import _GRID, _SPLIT, with_base
+from zonecast.session import settled
+from zonecast.sources.fixture import KEY_COLUMNS
 from zonecast.sources.fixture import pitch_view
 
 STRETCH = 80  # the events' month laid over the years of the pitches
@@ -93,8 +98,6 @@ def q_cells_rate_by_pitch_type(spark, d):
 
 def q_distinct_users(spark, d):
     """Distinct users per type and day, per type and in all, from one table of bitmaps."""
-    from zonecast.session import settled
-
     e = _events(spark, d).select("event_type", F.to_date("ts").alias("day"), "user_id")
     bits = settled(distinct.id_bitmaps(e, ["event_type", "day"], "user_id"), "user-bitmaps")
     levels = [distinct.distinct_counts(bits, dims, "n_users") for dims in (["event_type", "day"], ["event_type"], [])]
@@ -129,6 +132,61 @@ def q_sketch_quantiles(spark, d):
     return ranks.select("event_type", "n", "prob", ((F.col("low") - slack <= F.col("prob")) & (F.col("prob") <= F.col("high") + slack)).alias("within_error"))
 
 
+def q_stream_windowed_rates(spark, d):
+    """The events as a stream: hourly counts and large values per type, of windows that are over two hours before the last event."""
+    from zonecast.session import shared_path
+    from zonecast.streaming.summaries import start_windowed_rates
+
+    # a pattern, as a stream can't name a single file
+    out = shared_path(spark, f"stream-rates-{uuid.uuid4().hex}")
+    made = lambda df: df.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", (F.col("value") > 100).cast("int").alias("large"))
+    q = start_windowed_rates(spark, f"{d}/events.parque[t]", out, _events(spark, d).schema, key_cols=["event_id"], time_col="ts", by=["event_type"], label_col="large",
+                             max_files_per_trigger=1_000_000, prepare=made)
+    q.awaitTermination()
+    rates = spark.read.parquet(out)
+    return rates.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n_rows", F.col("n_strikes").alias("n_large"))
+
+
+AUC_FLOOR = {"logistic_regression": 0.70, "random_forest": 0.78, "boosted_trees": 0.78}
+
+
+def _fitted(spark, d, name):
+    """One row about a model fitted at its full size: what SQL can count, and whether it learnt."""
+    rows = split.stratified_split(_clean(spark, d), KEY_COLUMNS, "is_strike", 0.2, 42)
+    st = features.fit_state(rows)
+    train = features.transform(rows.filter("split = 'train'"), st, keep=["is_strike"])
+    test = features.transform(rows.filter("split = 'test'"), st, keep=KEY_COLUMNS + ["is_strike"])
+    model = models.fit_model(train, st, name)
+    scores = settled(models.score(model, test, st, name, KEY_COLUMNS), "scores")
+    count = lambda c: F.count_if(c)
+    y, p, v = F.col("label"), F.col("prediction"), F.col("score")
+    one = scores.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_rows"), count(y == 1).alias("n_strikes"), count((y == p) | (y != p)).alias("n_in_confusion"),
+        count(v.between(0, 1)).alias("n_probabilities"), count(p == (v > 0.5).cast("int")).alias("n_calls_by_score"))
+    auc = evaluation.roc_auc(scores).select(F.col("model"), (F.col("roc_auc") >= AUC_FLOOR[name]).alias("learnt"))
+    imp = models.feature_importance(model, st)
+    top = [r["importance"] for r in models.top_importances(imp, 20).collect()]
+    n, total, negative = imp.agg(F.count(F.lit(1)), F.sum("importance"), F.count_if(F.col("importance") < 0)).first()
+    tree = name != "logistic_regression"
+    return one.join(auc, "model").select(
+        "*", F.lit(n).alias("n_features"), F.lit(len(top)).cast("long").alias("n_top"), F.lit(top == sorted(top, reverse=True) and negative == 0).alias("top_falls"),
+        F.lit(round(total, 6) if tree else None).cast("double").alias("importance_sum"))
+
+
+def q_logistic_model(spark, d):
+    return _fitted(spark, d, "logistic_regression")
+
+
+def q_forest_model(spark, d):
+    """200 trees."""
+    return _fitted(spark, d, "random_forest")
+
+
+def q_boosted_model(spark, d):
+    """200 rounds of depth 6."""
+    return _fitted(spark, d, "boosted_trees")
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
 
 _DAY = f"date '1995-01-01' + cast(floor(floor(epoch(ts) - 1704067200) * {STRETCH} / 86400) as int)"
@@ -170,5 +228,18 @@ left join events p on p.event_id = e.pid""",
     "table_diff_by_key": with_base("""select l_orderkey, case when o = 0 then 'added' when n = 0 then 'removed' else 'changed' end as change, o as n_old, n as n_new from
  (select l_orderkey, count(*) filter (where side = 0) as o, count(*) filter (where side = 1) as n from (select l_orderkey, 0 as side from old union all select l_orderkey, 1 from new) group by 1)
  where l_orderkey in (select l_orderkey from (select * from new except all select * from old) union all select l_orderkey from (select * from old except all select * from new))""", extra=_VERSIONS),
+    "stream_windowed_rates": """select event_type, time_bucket(interval 1 hour, ts) as window_start, time_bucket(interval 1 hour, ts) + interval 1 hour as window_end, count(*) as n_rows,
+ cast(sum(cast(value > 100 as int)) as bigint) as n_large from events where ts is not null group by 1, 2 having window_end <= (select max(ts) from events) - interval 2 hours""",
     "sketch_quantiles": "select event_type, count(value) as n, unnest([0.05, 0.25, 0.5, 0.75, 0.95])::double as prob, true as within_error from events group by 1",
 }
+
+
+def _model_sql(name: str) -> str:
+    dummies = " + ".join(f"(select count(distinct coalesce({c}, 'Unknown')) - 1 from split_rows)" for c in S.CATEGORICAL_FEATURES)
+    n = f"({len(S.NUMERIC_CONTEXT) + len(S.NUMERIC_PITCH) + len(S.ENGINEERED_FEATURES)} + {dummies})"
+    return with_base(f"""select '{name}' as model, count(*) as n_rows, count(*) filter (where is_strike = 1) as n_strikes, count(*) as n_in_confusion, count(*) as n_probabilities,
+ count(*) as n_calls_by_score, true as learnt, {n} as n_features, least(20, {n}) as n_top, true as top_falls, {'cast(null as double)' if name == 'logistic_regression' else 'cast(1 as double)'} as importance_sum
+from split_rows where split = 'test'""", extra=_SPLIT)
+
+
+SQL |= {"logistic_model": _model_sql("logistic_regression"), "forest_model": _model_sql("random_forest"), "boosted_model": _model_sql("boosted_trees")}
