@@ -116,3 +116,14 @@ def test_targets_that_leave_nothing_raise(spark):
     with pytest.raises(ValueError, match=r"lang.*None \(1 documents, 3 tokens\), 'xx'"):
         mixing.mix(docs, {"lang": {"en": 0.7, "de": 0.3}})
     assert mixing.mix(docs.where("lang = 'en'"), {"lang": {"en": 0.7, "de": 0.3}}).count() == 1
+
+
+def test_columns_with_clashing_names(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", "en", f"s{i % 3}", 5) for i in range(200)], "doc_id long, text string, lang string, source string, n_chars long")
+    plain = {r.doc_id for r in mixing.sample(docs).collect()}
+    for c in ("_mix_chance", "_mix_weight", "_mix_source", "_own_source", "_row", "topic", "chance", "weight", "tokens", "a b.c"):
+        docs = docs.withColumn(c, mixing.F.lit(0.5))
+    got = mixing.sample(docs)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert {r.doc_id for r in rows} == plain and all(set(r[5:]) == {0.5} for r in rows) and 0 < len(plain) < 200

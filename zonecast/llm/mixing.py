@@ -172,6 +172,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, fra
 def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, fraction: float = 0.5, flatten: float = 0.5, seed: int = 17) -> DataFrame:
     """The selected documents (all columns)."""
     cells = plan(settled(described(docs), "described"), targets, fraction, flatten)
-    keyed = docs.withColumns({"_own_source": F.col("source").cast("string"), "_own_lang": F.col("lang").cast("string"), "_own_topic": topic()})
-    both = _with_cells(keyed, cells, {c: f"_own_{c}" for c in MARGINS})
-    return both.where(uniform(seed) < F.col("_mix_chance")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row is one column, so that its names can be any
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("_row"), F.col("doc_id"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), topic().alias("topic"))
+    both = _with_cells(keyed, cells, {c: c for c in MARGINS})
+    return both.where(uniform(seed) < F.col("_mix_chance")).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
