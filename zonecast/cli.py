@@ -11,7 +11,7 @@ import argparse
 
 from zonecast.plans.dataset import prepare_dataset
 from zonecast.plans.training import DEFAULT_MODELS, evaluate_saved_models, train_and_evaluate
-from zonecast.session import build_session
+from zonecast.session import build_session, drop_tables
 from zonecast.sources.pitch_io import load_pitches
 
 
@@ -46,6 +46,7 @@ def main(argv=None):
             res["metrics_test"].show(truncate=False)
         else:
             evaluate_saved_models(spark, processed, keys, a.models, a.metrics).show(truncate=False)
+    drop_tables(spark)  # everything asked for is written or shown
 
 
 if __name__ == "__main__":

@@ -68,9 +68,27 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    made_tables(df.sparkSession).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def made_tables(spark: SparkSession) -> list[str]:
+    """The intermediate tables written by this application so far, in order."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_zonecast_made"):
+        sc._zonecast_made = []
+    return sc._zonecast_made
+
+
+def drop_tables(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete intermediate tables from place ``since`` on, but for the last ``keep``; results that read them must be written."""
+    made = made_tables(spark)
+    gone = made[since : len(made) - keep]
+    for path in gone:
+        drop_path(spark, path)
+    made[since : len(made) - keep] = []
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table or folder through Hadoop's file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
