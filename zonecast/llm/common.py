@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_path
+from ..session import settled, shared_path
+
+__all__ = ["crc_bucket", "fresh_folder", "settled", "table", "text_or_empty"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,14 +22,6 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return shared_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back: later steps survive lost executors
-    without doing the work again."""
-    path = fresh_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
