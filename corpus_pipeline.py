@@ -6,7 +6,9 @@
 4. mixing: documents are sampled by their raked chance.
 5. token_files: what is left becomes Arrow stream files of token sequences; the result is their index.
 
-Stages 1 to 4 return the columns of their input.
+Stages 1 to 4 return the columns of their input, whatever their names.  Null and empty texts, null ids and repeated rows
+are treated as each operator states: an empty text is scored like any other, is no near-duplicate and no leak; of rows
+that repeat id and text one stays; null ids pass the second and third stage; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.llm import decontam, mixing, neardup, quality, token_files
 from zonecast.llm.common import settled, table
+from zonecast.session import drop_tables, made_tables
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is a table in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``; each result is a table in the shared folder.
+
+    A stage's own intermediate tables, and its input, are deleted when its result is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), len(made_tables(spark))
     for name, stage in STAGES:
         docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_tables(spark, since=before, keep=1)
     return docs
