@@ -115,3 +115,37 @@ def test_queries_reach_their_held_out_accuracy(spark):
 def test_numbers_are_no_letters():
     assert not any(map(langid.has_letter, ["", "½ ² ①", "Ⅷ", "12 _ %", "٣"]))
     assert all(map(langid.has_letter, ["½a", "é", "日", "ª", "1 x"]))
+
+
+@pytest.mark.parametrize("classes", [2, 4])
+def test_gradients_equal_differences(classes):
+    """Every kind of weight against a central difference of the loss."""
+    rng = np.random.default_rng(classes)
+    net = byteconv.ByteConv(20, 3, classes, seed=classes)
+    net.p = {k: v.astype(np.float64) + 0.05 * rng.standard_normal(v.shape) for k, v in net.p.items()}
+    rows = rng.integers(0, 20, (9, 12))
+    starts, labels, decay = np.array([0, 2, 3, 7]), rng.integers(0, classes, 4), 0.1
+
+    def loss():
+        pooled, _ = net._forward(rows, starts)
+        prob = byteconv.softmax(net.logits(pooled))
+        return -np.log(prob[np.arange(4), labels]).mean() + decay / 2 * (net.p["dense"] ** 2).sum()
+
+    grad, step, seen = net.gradients(rows, starts, labels, decay), 1e-6, 0
+    for k, g in grad.items():
+        for at in np.ndindex(g.shape):
+            was = net.p[k][at]
+            net.p[k][at] = was + step
+            high = loss()
+            net.p[k][at] = was - step
+            low = loss()
+            net.p[k][at] = was
+            assert abs((high - low) / (2 * step) - g[at]) < 1e-6, (k, at)
+            seen += g[at] != 0
+    assert seen > 50
+
+
+def test_fitting_holds_symbols_narrow():
+    """2,500 texts of 64 KB are no more than two bytes a symbol beside the texts."""
+    rows = byteconv.chunked(np.zeros(65536, np.uint16), 512)
+    assert rows.base is not None and rows.dtype == np.uint16

@@ -95,6 +95,30 @@ class ByteConv:
             where.append((row, np.take_along_axis(at, row, axis=0)))
         return np.concatenate(best, axis=1), where
 
+    def gradients(self, rows: np.ndarray, starts: np.ndarray, labels: np.ndarray, decay: float) -> dict[str, np.ndarray]:
+        """Of the mean cross entropy of the groups, plus ``decay / 2`` times the dense layer's sum of squares."""
+        pooled, where = self._forward(rows, starts)
+        b = np.concatenate([self.p[f"b{w}"] for w in WIDTHS])
+        h = np.maximum(pooled + b, 0)
+        z = h @ self.p["dense"] + self.p["bias"]
+        z -= z.max(axis=1, keepdims=True)
+        prob = np.exp(z)
+        prob /= prob.sum(axis=1, keepdims=True)
+        prob[np.arange(len(labels)), labels] -= 1
+        prob /= len(labels)
+        grad = {"dense": h.T @ prob + decay * self.p["dense"], "bias": prob.sum(axis=0)}
+        back = (prob @ self.p["dense"].T) * (h > 0)
+        f = self.filters
+        for i, w in enumerate(WIDTHS):
+            g = back[:, i * f : (i + 1) * f]
+            row, at = where[i]
+            t = np.zeros_like(self.p[f"t{w}"])
+            col = np.broadcast_to(np.arange(f), g.shape)
+            for k in range(w):
+                np.add.at(t[k], (rows[row, at + k], col), g)
+            grad[f"t{w}"], grad[f"b{w}"] = t, g.sum(axis=0)
+        return grad
+
     def fit(self, groups: list[np.ndarray], labels: np.ndarray, epochs: int, batch_symbols: int, rate: float = 0.01, seed: int = 7, decay: float = 1e-4) -> ByteConv:
         """``groups``: the rows of each example; ``labels``: its class.  Adam, in a shuffled order fixed by ``seed``."""
         rng = np.random.default_rng(seed)
@@ -110,28 +134,9 @@ class ByteConv:
             batches = np.split(order, cuts)
             total = total or len(batches) * epochs
             for ids in batches:
-                rows = np.concatenate([groups[i] for i in ids])
+                rows = np.concatenate([groups[i] for i in ids]).astype(np.int64)  # only a batch is this wide
                 starts = np.concatenate([[0], np.cumsum([len(groups[i]) for i in ids])[:-1]])
-                pooled, where = self._forward(rows, starts)
-                b = np.concatenate([self.p[f"b{w}"] for w in WIDTHS])
-                h = np.maximum(pooled + b, 0)
-                z = h @ self.p["dense"] + self.p["bias"]
-                z -= z.max(axis=1, keepdims=True)
-                prob = np.exp(z)
-                prob /= prob.sum(axis=1, keepdims=True)
-                prob[np.arange(len(ids)), labels[ids]] -= 1
-                prob /= len(ids)
-                grad = {"dense": h.T @ prob + decay * self.p["dense"], "bias": prob.sum(axis=0)}
-                back = (prob @ self.p["dense"].T) * (h > 0)
-                f = self.filters
-                for i, w in enumerate(WIDTHS):
-                    g = back[:, i * f : (i + 1) * f]
-                    row, at = where[i]
-                    t = np.zeros_like(self.p[f"t{w}"])
-                    col = np.broadcast_to(np.arange(f), g.shape)
-                    for k in range(w):
-                        np.add.at(t[k], (rows[row, at + k], col), g)
-                    grad[f"t{w}"], grad[f"b{w}"] = t, g.sum(axis=0)
+                grad = self.gradients(rows, starts, labels[ids], decay)
                 step += 1
                 lr = rate * (1 - step / (total + 1)) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
                 for k, g in grad.items():

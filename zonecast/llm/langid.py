@@ -67,7 +67,7 @@ def fit(docs: DataFrame, learn: Column | None = None, max_docs: int = 4000, wind
     for r in rows:
         raw = bytes(r.raw)
         for a in range(0, max(1, len(raw) - WINDOW // 2), WINDOW):
-            groups.append(chunked(np.frombuffer(raw[a : a + WINDOW], np.uint8), WINDOW)[:1].astype(np.int64))
+            groups.append(chunked(np.frombuffer(raw[a : a + WINDOW], np.uint8), WINDOW)[:1])
             labels.append(classes.index(r.label))
     net = ByteConv(256, FILTERS, len(classes)).fit(groups, np.array(labels), epochs, 64 * WINDOW, rate=0.01)
     return Shipped(net), classes

@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_doc
     rows.sort(key=lambda r: r.doc_id)
     if not rows:
         return None
-    groups = [chunked(s, CHUNK).astype(np.int64) for s in symbols([bytes(r.raw) for r in rows])]
+    groups = [chunked(symbols([bytes(r.raw)])[0], CHUNK) for r in rows]  # text by text, for the driver's memory
     net = ByteConv(512, FILTERS, 2).fit(groups, np.array([r.label for r in rows]), epochs, 1 << 16, rate=0.02)
     return Shipped(net)
 
