@@ -127,3 +127,21 @@ def test_columns_with_clashing_names(spark):
     assert got.columns == docs.columns
     rows = got.collect()
     assert {r.doc_id for r in rows} == plain and all(set(r[5:]) == {0.5} for r in rows) and 0 < len(plain) < 200
+
+
+def test_factors_equal_the_single_partition(spark, monkeypatch):
+    """Cell tables beyond the bound are raked by factors per margin: the same weights and chances."""
+    rng = __import__("random").Random(3)
+    cells = [(f"s{i % 40}" if i % 9 else None, rng.choice(["en", "de", "xx", None]), rng.choice(["prose", "legal", "table"]), rng.choice([0, 5, 100, 4000])) for i in range(400)]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long").groupBy("source", "lang", "topic").agg(mixing.F.sum("tokens").alias("tokens")).cache()
+    given = {"lang": mixing.LANG_SHARES, "topic": mixing.TOPIC_SHARES}
+    key = lambda r: (r.source, r.lang, r.topic)
+    one = mixing.settled(mixing.rake(mixing.with_shares(df, given, 0.5), most=2, rounds_at_once=2), "raked")
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", 10)  # some margins are shuffled
+    many = mixing.rake_by_factors(df, mixing.margin_shares(df, given, 0.5), tolerance=0, most=2)
+    a, b = ({key(r): r.raked for r in t.collect()} for t in (one, many))
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+    for fraction in (0.2, 0.95):
+        a, b = ({key(r): (r.weight, r.chance) for r in f(one, fraction).collect()} for f in (mixing.chances, mixing.chances_by_levels))
+        for k, (w, c) in a.items():
+            assert (w is None) == (b[k][0] is None) and abs((w or 0) - (b[k][0] or 0)) < 1e-9 and abs(c - b[k][1]) < 1e-9

@@ -16,7 +16,8 @@ below its chance, so a rerun selects the same ones.
 Raking runs on the cell table alone (one row per combination that occurs, so at
 most sources x languages x topics rows, whatever the number of documents): a
 cell that holds a third of all rows is one row.  Its rounds are window sums over
-one partition, so they need no shuffle.  Cells come back to the documents by a
+one partition, so they need no shuffle (above ``BROADCAST_CELLS`` cells: by one written table of factors per margin, and
+calibration by range-partitioned running sums).  Cells come back to the documents by a
 join on the cell's columns, broadcast only while counted below
 ``BROADCAST_CELLS`` rows.
 
@@ -37,6 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.selection import ordered_prefix_sums
 from .common import settled, text_or_empty
 
 MARGINS = ("source", "lang", "topic")
@@ -141,6 +143,73 @@ def chances(raked: DataFrame, fraction: float) -> DataFrame:
     return fits.withColumn("chance", chance).drop("_c", "_fit")
 
 
+# --- the same for cell tables of any size: factors per margin instead of one partition -------------
+
+def _by_value(rows: DataFrame, table: DataFrame, c: str, few: bool) -> DataFrame:
+    """``rows`` with the columns of ``table`` (``_v``, ...) for their value of margin ``c``."""
+    table = F.broadcast(table) if few else table
+    return rows.join(table, rows[c].eqNullSafe(table["_v"])).drop("_v")
+
+
+def margin_shares(cells: DataFrame, given: dict[str, dict[str, float]], flatten: float) -> dict[str, DataFrame]:
+    """As ``with_shares``, as one table a margin: ``_v`` (the value), ``share``."""
+    out = {}
+    for c in MARGINS:
+        t = settled(cells.groupBy(F.col(c).alias("_v")).agg(F.sum("tokens").cast("double").alias("_t")), "margin")
+        if given.get(c):
+            table = F.create_map(*[F.lit(v) for kv in given[c].items() for v in kv])
+            want = F.when(F.col("_v").isNotNull(), table[F.coalesce(F.col("_v"), F.lit(""))])
+            free = t.where(want.isNull()).agg(F.sum("_t")).first()[0]
+            weight = F.coalesce(want, F.try_divide(F.lit(max(0.0, 1.0 - sum(given[c].values()))) * F.col("_t"), F.lit(free).cast("double")))
+        else:
+            weight = F.pow("_t", F.lit(flatten))
+        weighed = t.select("_v", F.when(F.col("_t") > 0, weight).otherwise(0.0).alias("_w"))
+        whole = weighed.agg(F.sum("_w")).first()[0]
+        out[c] = settled(weighed.select("_v", F.coalesce(F.try_divide("_w", F.lit(whole).cast("double")), F.lit(0.0)).alias("share")), "margin-shares")
+    return out
+
+
+def rake_by_factors(cells: DataFrame, shares: dict[str, DataFrame], tolerance: float = 1e-6, most: int = 40) -> DataFrame:
+    """As ``rake``: raked tokens are tokens times one factor per margin, so a round writes only the factors."""
+    factors = {c: t.withColumn("f", F.lit(1.0)) for c, t in shares.items()}
+    few = {c: t.count() <= BROADCAST_CELLS for c, t in shares.items()}
+    raked = lambda: F.col("tokens").cast("double") * F.col("f_0") * F.col("f_1") * F.col("f_2")
+
+    def scaled() -> DataFrame:
+        rows = cells
+        for i, c in enumerate(MARGINS):
+            rows = _by_value(rows, factors[c].select("_v", F.col("f").alias(f"f_{i}")), c, few[c])
+        return rows
+
+    for _ in range(most):
+        error = 0.0
+        for c in MARGINS:
+            have = scaled().groupBy(F.col(c).alias("_h")).agg(F.sum(raked()).alias("have"))
+            t = factors[c].join(have, F.col("_v").eqNullSafe(F.col("_h")))
+            off = F.when(F.col("share") > 0, F.abs(F.col("have") / F.col("share") - 1))
+            t = settled(t.select("_v", "share", F.when(F.col("have") > 0, F.col("f") * F.col("share") / F.col("have")).otherwise(0.0).alias("f"), off.alias("off")), "factors")
+            error = max(error, t.agg(F.max("off")).first()[0] or 0.0)
+            factors[c] = t.drop("off")
+        if error <= tolerance:
+            break
+    return scaled().withColumn("raked", raked()).drop("f_0", "f_1", "f_2")
+
+
+def chances_by_levels(raked: DataFrame, fraction: float) -> DataFrame:
+    """As ``chances``, with running sums over range-partitioned weights; two numbers reach the driver."""
+    cells = settled(raked, "raked")
+    whole = cells.agg(F.sum("tokens")).first()[0] or 0
+    w = cells.withColumn("weight", F.when(F.col("tokens") > 0, F.col("raked") * F.lit(whole) / F.col("tokens")))
+    levels = w.where("weight > 0").groupBy((-F.col("weight")).alias("falling")).agg(F.sum("tokens").cast("double").alias("t"))
+    levels = levels.withColumn("tw", -F.col("falling") * F.col("t"))
+    sums = ordered_prefix_sums(levels, "falling", ["t", "tw"])
+    total = levels.agg(F.sum("t"), F.sum("tw")).first()
+    c = F.try_divide(F.lit(fraction * (total[0] or 0.0)) - (F.col("cum_t") - F.col("t")), F.lit(total[1] or 0.0) - F.col("cum_tw") + F.col("tw"))
+    fit = sums.select((-F.col("falling")).alias("weight"), c.alias("c")).where("c * weight <= 1").agg(F.max(F.struct("weight", "c")).alias("m")).first().m
+    chance = F.least(F.lit(1.0), F.lit(fit.c) * F.col("weight")) if fit else F.lit(1.0)
+    return w.withColumn("chance", F.when(F.col("weight").isNull(), F.lit(fraction)).when(F.col("weight") <= 0, 0.0).otherwise(chance))
+
+
 def uniform(seed: int) -> Column:
     """A number in [0, 1) from the id and the seed."""
     h = F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"))
@@ -152,7 +221,9 @@ def plan(rows: DataFrame, targets: dict[str, dict[str, float]] | None = None, fr
     given = targets if targets is not None else {"lang": LANG_SHARES, "topic": TOPIC_SHARES}
     cells = settled(cells_of(rows), "cells")
     check_left(cells, given)
-    return settled(chances(rake(with_shares(cells, given, flatten)), fraction), "chances")
+    if cells.count() <= BROADCAST_CELLS:
+        return settled(chances(rake(with_shares(cells, given, flatten)), fraction), "chances")
+    return settled(chances_by_levels(rake_by_factors(cells, margin_shares(cells, given, flatten)), fraction), "chances")
 
 
 def _with_cells(rows: DataFrame, cells: DataFrame, named: dict[str, str]) -> DataFrame:
