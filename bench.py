@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from zonecast import schema as S  # noqa: E402
-from zonecast.operators import evaluation, features, models, prep, split, summaries, zones  # noqa: E402
+from zonecast.operators import cube, evaluation, features, models, ordered, prep, split, summaries, zones  # noqa: E402
 from zonecast.plans.dataset import build_processed  # noqa: E402
 from zonecast.session import build_session, shared_path  # noqa: E402
 from zonecast.sources.fixture import KEY_COLUMNS, pitch_view  # noqa: E402
@@ -63,6 +63,17 @@ def main():
     timed("zone_heatmap_dense", lambda: run(zones.zone_heatmap_dense(df, 25)))
     timed("zone_grid_prob", lambda: run(zones.zone_grid(df, "prob")))
     timed("speed_histogram", lambda: run(zones.speed_histogram(df)))
+    state_cells = {}
+
+    def cells():
+        state_cells["cells"] = cube.dashboard_cells(df)
+    timed("slice_cells", cells)
+    timed("slice_cube", lambda: run(cube.slice_cube(state_cells["cells"], ["pitch_type", "stand", "p_throws", "balls", "strikes"])))
+    timed("panels_from_cells", lambda: [run(f(state_cells["cells"])) for f in (cube.totals, lambda c: cube.rate_by(c, "pitch_type"), cube.rate_by_count_label, cube.zone_grid_scaled)])
+    order = ["game_date", "l_orderkey", "l_partkey", "l_linenumber"]
+    timed("rolling_strike_rate", lambda: run(ordered.rolling(df.select("l_suppkey", *order, "is_strike"), ["l_suppkey"], order, 50, {"n": F.count("is_strike"), "s": F.sum("is_strike")})))
+    strikes = df.where("is_strike = 1").select("l_suppkey", *order)
+    timed("asof_last_strike", lambda: run(ordered.asof_join(df.select("l_suppkey", *order), strikes, "game_date", "game_date", ["l_suppkey"], ["l_suppkey"], ties=order[1:], allow_equal=False)))
 
     state = {}
 
