@@ -93,3 +93,30 @@ def test_no_row_touches_many_buckets_and_no_nested_loop(spark):
     assert got.count() == 40_000
     plan = got._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_short_rows_meet_in_fine_buckets_only(spark):
+    """Beside long rows, and over an axis of very many widths, the rows compared grow with the pairs."""
+    short = spark.range(3000).selectExpr("id", "id * 100.0D as low", "id * 100.0D + 60 as high")
+    long = spark.range(5).selectExpr("-id - 1 as id", "id * 1000.0D as low", "id * 1000.0D + 250000 as high")
+    rows = short.unionByName(long)
+    l, r = (intervals._prepared(rows, ["low", "high"], [], side) for side in ("_l", "_r"))
+    a = intervals._placed(l, 0.0, 300_000.0, 60.0, 3, ("own_l", "first_l", "_l")).withColumnsRenamed({"low": "low_l", "high": "high_l"})
+    b = intervals._placed(r, 0.0, 300_000.0, 60.0, 3, ("own_r", "first_r", "_r")).withColumnsRenamed({"low": "low_r", "high": "high_r"})
+    ends = [(x.low, x.high) for x in rows.collect()]
+    want = sum(1 for x, y in ends for u, v in ends if x <= v and u <= y)
+    assert interval_join(rows, rows, ["low", "high"], ["low", "high"]).count() == want
+    compared = (intervals._met(a, b) if hasattr(intervals, "_met") else a.join(b, ["key", "level", "bucket"])).count()
+    assert compared < 5 * want
+
+
+def test_levels_reach_as_far_as_the_longest_row(spark):
+    """Short rows over a long axis need one level; infinite rows need all of them and still match."""
+    short = spark.range(2000).selectExpr("id", "id * 1000.0D as low", "id * 1000.0D + 10 as high")
+    plan = interval_join(short, short, ["low", "high"], ["low", "high"])
+    assert plan.count() == 2000
+    ends = spark.createDataFrame([(-1, -INF, INF), (-2, 5.0, INF), (-3, INF, INF)], "id long, low double, high double")
+    both = short.unionByName(ends)
+    rows = [(r.id, r.low, r.high) for r in both.collect()]
+    want = sorted((i, j) for i, x, y in rows for j, u, v in rows if x <= v and u <= y)
+    assert sorted((r.id, r.right_id) for r in interval_join(both, both, ["low", "high"], ["low", "high"]).collect()) == want

@@ -5,7 +5,8 @@ equality joins the sides.  A pair may meet in several buckets and counts in the
 A long interval would touch very many buckets: rows longer than ``SPREAD`` widths use buckets ``SPREAD`` times
 as wide (and so on, level by level), and a pair meets on the coarser of its two levels.  The width is the mean
 length, so a side grows by a small factor whatever its lengths are, and no row touches more than
-``SPREAD + 2`` buckets of a level.
+``SPREAD + 2`` buckets of a level.  In a coarse bucket only rows of that level meet others: two short rows
+are never compared there.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ def _prepared(df: DataFrame, on: str | Sequence[str], by: Sequence[str], side: s
 def _extent(rows: DataFrame) -> DataFrame:
     real = F.abs("a") != float("inf"), F.abs("b") != float("inf")
     return rows.agg(F.min(F.when(real[0], F.col("a"))).alias("least"), F.max(F.when(real[1], F.col("b"))).alias("most"),
-                    F.sum(F.when(real[0] & real[1], F.col("b") - F.col("a"))).alias("total"), F.count(F.lit(1)).alias("n"))
+                    F.sum(F.when(real[0] & real[1], F.col("b") - F.col("a"))).alias("total"), F.count(F.lit(1)).alias("n"),
+                    F.max(F.nanvl(F.col("b") - F.col("a"), F.lit(0.0))).alias("longest"))
 
 
 def _placed(rows: DataFrame, least: float, most: float, width: float, levels: int, names: tuple[str, str, str]) -> DataFrame:
@@ -64,6 +66,14 @@ def _placed(rows: DataFrame, least: float, most: float, width: float, levels: in
     return some.select(keep, "key", "low", "high", own, F.col("s.level").alias("level"), F.col("s.from").alias(first), F.explode(F.sequence("s.from", "s.to")).alias("bucket"))
 
 
+def _met(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows that share a bucket of the coarser of their levels: the left row's own (``by_right`` 0) or else the right one's (1)."""
+    a = a.withColumn("by_right", (F.col("level") > F.col("own_l")).cast("int"))
+    own = F.col("level") == F.col("own_r")
+    b = b.withColumn("by_right", F.explode(F.when(own, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    return a.join(b, ["key", "level", "bucket", "by_right"])
+
+
 def interval_join(left: DataFrame, right: DataFrame, left_on: str | Sequence[str], right_on: str | Sequence[str],
                   left_by: Sequence[str] = (), right_by: Sequence[str] = (), *, closed: str = "both", how: str = "inner",
                   prefix: str = "right_") -> DataFrame:
@@ -88,12 +98,13 @@ def interval_join(left: DataFrame, right: DataFrame, left_on: str | Sequence[str
     longest = most - least
     # points have no length: about one of them a bucket then
     width = max([(s["total"] or 0) / s["n"] for s in stats if s["n"]] + [longest / (n + 1), 1e-9 * longest]) or 1.0
-    levels = 1 + max(0, math.ceil(math.log(max(longest / width, 1), SPREAD)) - 1)
+    row = min(longest, max([s["longest"] for s in stats if s["n"]], default=0.0))  # an infinite one is as long as the axis
+    levels = 1 + max(0, math.ceil(math.log(max(row / width, 1), SPREAD)) - 1)
     a = _placed(l_rows, least, most, width, levels, ("own_l", "first_l", "_l"))
     b = _placed(r_rows, least, most, width, levels, ("own_r", "first_r", "_r"))
     a = a.withColumnsRenamed({"low": "low_l", "high": "high_l"})
     b = b.withColumnsRenamed({"low": "low_r", "high": "high_r"})
-    met = a.join(b, ["key", "level", "bucket"]).where("level = greatest(own_l, own_r) and bucket = greatest(first_l, first_r)")
+    met = _met(a, b).where("bucket = greatest(first_l, first_r)")
     point_l, point_r = F.lit(isinstance(left_on, str)), F.lit(isinstance(right_on, str))
     if closed == "both":
         meets = (F.col("low_l") <= F.col("high_r")) & (F.col("low_r") <= F.col("high_l"))
