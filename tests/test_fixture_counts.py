@@ -2,7 +2,8 @@
 
 import pytest
 
-from zonecast.operators import prep
+from zonecast.operators import prep, split
+from zonecast.plans import catalog as C
 from zonecast.sources.fixture import pitch_view
 
 EXPECTED = {  # sf: rows, strikes labelled, balls labelled, strikes after cleaning, balls after cleaning
@@ -18,3 +19,12 @@ def test_counts(spark, sf):
     clean = prep.basic_cleaning(prep.label_outcomes(raw))
     c = {r["is_strike"]: r["count"] for r in clean.groupBy("is_strike").count().collect()}
     assert (a["n_input"], a["n_strikes"], a["n_balls"], c[1], c[0]) == EXPECTED[sf]
+
+
+def test_generated_methods_are_short_enough_to_be_compiled(spark):
+    """HotSpot interprets methods of over 8,000 bytes for good, about ten times slower."""
+    clean = C._clean(spark, "/root/testdata/sf0.001")
+    for df in (clean, clean.select(split.split_hash(C.KEYS), "is_strike")):
+        made = df._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())]
+        assert sizes and max(sizes) <= 8000, sizes
