@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.ml import Transformer as S_Transformer
 from pyspark.sql import functions as F
 
 from zonecast import schema as S
@@ -178,3 +179,29 @@ def test_cli_prepare_train_evaluate(spark, scratch):
     trained = {r["model"]: r for r in pitch_io.read_metrics(spark, mbase + "_test").collect()}
     for r in again.collect():
         assert r["accuracy"] == pytest.approx(trained[r["model"]]["accuracy"])
+
+
+def test_a_fit_spreads_rows_that_lie_in_one_partition(spark, monkeypatch):
+    """As from a file with one row group; and it has few more tasks than cores."""
+    seen = []
+
+    class Model(S_Transformer):
+        def _transform(self, df):
+            return df
+
+    class Estimator:
+        def fit(self, data):
+            seen.append([r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()])
+            return Model()
+
+    monkeypatch.setattr(models, "make_estimator", lambda *a, **kw: Estimator())
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 100)
+    st = features.FeatureState(["x"], {"x": 0.0}, [])
+    rows = spark.range(0, 4000, 1, 40).selectExpr("cast(id as double) as x", "cast(id % 2 as int) as is_strike")
+    models.fit_model(rows.filter("x >= 3900"), st, "random_forest")
+    models.fit_model(rows.filter("x >= 400").coalesce(1), st, "random_forest")
+    models.fit_model(rows, st, "random_forest")
+    small, one, even = seen
+    assert sum(small) == 100 and len(small) == 1
+    assert sum(one) == 3600 and len(one) == spark.sparkContext.defaultParallelism and max(one) < 1.5 * 3600 / len(one)
+    assert sum(even) == 4000 and len(even) == spark.sparkContext.defaultParallelism
