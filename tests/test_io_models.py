@@ -205,3 +205,23 @@ def test_a_fit_spreads_rows_that_lie_in_one_partition(spark, monkeypatch):
     assert sum(small) == 100 and len(small) == 1
     assert sum(one) == 3600 and len(one) == spark.sparkContext.defaultParallelism and max(one) < 1.5 * 3600 / len(one)
     assert sum(even) == 4000 and len(even) == spark.sparkContext.defaultParallelism
+
+
+def test_registered_scores_fit_the_whole_model(spark, monkeypatch):
+    """No query passes a size: boosting runs all of its 200 rounds."""
+    seen = {}
+
+    def fit(train, state, name, **kw):
+        seen[name] = models.make_estimator(name, 100, **kw)
+        raise KeyError(name)
+
+    monkeypatch.setattr(C, "settled", lambda df, name: df)
+    monkeypatch.setattr(C, "_split", lambda spark, d: spark.range(2).withColumn("split", F.lit("train")))
+    monkeypatch.setattr(C.features, "fit_state", lambda df: None)
+    monkeypatch.setattr(C.features, "transform", lambda df, state, keep: df)
+    monkeypatch.setattr(C.models, "fit_model", fit)
+    for query, name in ((C.q_boosted_scores, "boosted_trees"), (C.q_forest_scores, "random_forest"), (C.q_logistic_scores, "logistic_regression")):
+        with pytest.raises(KeyError, match=name):
+            query(spark, SF)
+    assert seen["boosted_trees"].getMaxIter() == 200 and seen["boosted_trees"].getMaxDepth() == 6
+    assert seen["random_forest"].getNumTrees() == 200 and seen["logistic_regression"].getMaxIter() == 1000
