@@ -225,3 +225,27 @@ def test_registered_scores_fit_the_whole_model(spark, monkeypatch):
             query(spark, SF)
     assert seen["boosted_trees"].getMaxIter() == 200 and seen["boosted_trees"].getMaxDepth() == 6
     assert seen["random_forest"].getNumTrees() == 200 and seen["logistic_regression"].getMaxIter() == 1000
+
+
+def test_logistic_regression_keeps_rows_once_and_in_small_parts(spark, monkeypatch):
+    """Spark keeps its own copy; a large partition held in one piece ended the JVM."""
+    seen = {}
+
+    class Model(S_Transformer):
+        def _transform(self, df):
+            return df
+
+    class Estimator:
+        def fit(self, data):
+            seen["parts"] = [r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+            seen["kept"] = len(spark.sparkContext._jsc.getPersistentRDDs()) - before
+            return Model()
+
+    monkeypatch.setattr(models, "make_estimator", lambda *a, **kw: Estimator())
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 10)
+    monkeypatch.setattr(models, "MOST_ROWS_PER_TASK", 100)
+    st = features.FeatureState(["x"], {"x": 0.0}, [])
+    rows = spark.range(0, 4000, 1, 4).selectExpr("cast(id as double) as x", "cast(id % 2 as int) as is_strike")
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    models.fit_model(rows, st, "logistic_regression")
+    assert seen["kept"] == 0 and sum(seen["parts"]) == 4000 and max(seen["parts"]) <= 200
